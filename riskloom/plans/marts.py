@@ -109,6 +109,8 @@ def policy_totals(book: Portfolio, clamp: bool = False) -> DataFrame:
     Facts are summed per policy before the join, so nothing fans out, and both
     sides arrive partitioned by ``policy_id``.
     """
+    if book.written and "policy_totals" in book.written and not clamp:
+        return book.written["policy_totals"]
     policies = book.insured_policies()
     earned = prorate(F.col("premium"), F.col("effective_date"), F.col("expiration_date"),
                      book.today, clamp)
@@ -315,6 +317,8 @@ def customer_risk(book: Portfolio, frequency: str = "amount") -> DataFrame:
         F.col("_rank").desc_nulls_first(),
         F.col("risk_score").desc_nulls_first(),
         F.col("loss_ratio").desc_nulls_first(),
+        # Ties are common at the low end; the key lets the sort split them.
+        F.col("customer_id"),
     ).select(*CUSTOMER_RISK)
 
 

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,23 +17,49 @@ from riskloom.operators.skew import HOT_ROWS, key_counts, lookup_join
 SPINE_START = dt.date(2024, 5, 1)
 
 
-@dataclass(frozen=True)
 class Portfolio:
     """Raw tables plus the parameters every plan shares.
 
-    The clean views are lazy plans over the raw tables until :meth:`staged`
-    writes them; afterwards the same methods read what was written.
+    ``tables`` holds customers, policies, claims, payments and endorsements, each
+    as a DataFrame or as a function giving one, called when first needed. The
+    clean views are lazy plans over the raw tables until :meth:`staged` writes
+    them; afterwards the same methods read what was written.
     """
 
-    customers: DataFrame
-    policies: DataFrame
-    claims: DataFrame
-    payments: DataFrame
-    endorsements: DataFrame
-    as_of: dt.date | None = None
-    spine_start: dt.date = SPINE_START
-    hot_rows: int = HOT_ROWS
-    written: dict[str, DataFrame] | None = None
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 as_of: dt.date | None = None, spine_start: dt.date = SPINE_START,
+                 hot_rows: int = HOT_ROWS, written: Mapping[str, DataFrame] | None = None):
+        self._tables = dict(tables)
+        self.as_of = as_of
+        self.spine_start = spine_start
+        self.hot_rows = hot_rows
+        self.written = written
+
+    def table(self, name: str) -> DataFrame:
+        table = self._tables[name]
+        if not isinstance(table, DataFrame):
+            table = self._tables[name] = table()
+        return table
+
+    @property
+    def customers(self) -> DataFrame:
+        return self.table("customers")
+
+    @property
+    def policies(self) -> DataFrame:
+        return self.table("policies")
+
+    @property
+    def claims(self) -> DataFrame:
+        return self.table("claims")
+
+    @property
+    def payments(self) -> DataFrame:
+        return self.table("payments")
+
+    @property
+    def endorsements(self) -> DataFrame:
+        return self.table("endorsements")
 
     @property
     def today(self) -> Column:
@@ -136,4 +161,11 @@ class Portfolio:
             target = f"{path.rstrip('/')}/{name}"
             view().write.mode("overwrite").parquet(target)
             written[name] = spark.read.parquet(target)
-        return replace(self, written=written)
+        return self.with_written(written)
+
+    def with_written(self, written: Mapping[str, DataFrame]) -> Portfolio:
+        return Portfolio(self._tables, self.as_of, self.spine_start, self.hot_rows, written)
+
+    def with_tables(self, **tables: DataFrame) -> Portfolio:
+        """The same portfolio over other raw tables."""
+        return Portfolio({**self._tables, **tables}, self.as_of, self.spine_start, self.hot_rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,10 +38,11 @@ def view_plans(book: Portfolio) -> dict[str, Callable[[], DataFrame]]:
     }
 
 
-def register(spark: SparkSession, book: Portfolio, prefix: str = "") -> list[str]:
-    """Create a temporary view for each plan; nothing is computed until queried."""
-    names = []
-    for name, plan in view_plans(book).items():
-        plan().createOrReplaceTempView(f"{prefix}{name}")
-        names.append(f"{prefix}{name}")
-    return names
+def register(spark: SparkSession, book: Portfolio, prefix: str = "",
+             names: Iterable[str] | None = None) -> list[str]:
+    """Create temporary views, all or the named ones; nothing runs until queried."""
+    plans = view_plans(book)
+    chosen = list(plans if names is None else names)
+    for name in chosen:
+        plans[name]().createOrReplaceTempView(f"{prefix}{name}")
+    return [f"{prefix}{name}" for name in chosen]

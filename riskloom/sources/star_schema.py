@@ -8,119 +8,117 @@ keys, so that every data-quality rule has something to find.
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.plans.portfolio import Portfolio
-from riskloom.schemas import LOADED_AT, MONEY
+from riskloom.schemas import LOADED_AT
 
 AS_OF = dt.date(2001, 1, 1)
 SPINE_START = dt.date(1995, 1, 1)
 LOAD_TIME = "2001-01-01 00:00:00"
 
 
-def _loaded() -> Column:
-    return F.lit(LOAD_TIME).cast("timestamp_ntz").alias(LOADED_AT)
+_LAYOUT = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_extendedprice double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, event_type string, value double, props string",
+}
+_LOADED = f"timestamp_ntz'{LOAD_TIME}' AS {LOADED_AT}"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The used columns of one table; a given schema saves reading footers to plan."""
+    return spark.read.schema(_LAYOUT[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    people = _table(spark, sf_dir, "customer")
-    return people.join(places, people.c_nationkey == places.n_nationkey).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
-        F.col("r_name").alias("state"),
-        F.col("c_mktsegment").alias("industry"),
-        _loaded(),
+    nation = star_table(spark, sf_dir, "nation")
+    region = star_table(spark, sf_dir, "region")
+    people = star_table(spark, sf_dir, "customer")
+    placed = people.join(nation, people.c_nationkey == nation.n_nationkey).join(
+        region, nation.n_regionkey == region.r_regionkey)
+    return placed.selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS customer_name",
+        "r_name AS state",
+        "c_mktsegment AS industry",
+        _LOADED,
     )
 
 
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    price = F.col("o_totalprice").cast(MONEY)
-    start = F.col("o_orderdate").cast("date")
-    premium = (
-        F.when(key % 83 == 6, F.lit(None).cast(MONEY))
-        .when(key % 79 == 7, (-price).cast(MONEY))
-        .when(key % 73 == 8, F.lit(0).cast(MONEY))
-        .otherwise(price)
-    )
-    rows = _table(spark, sf_dir, "orders").select(
-        key.alias("policy_id"),
-        F.when(key % 97 == 5, F.col("o_custkey") + 100000000)
-        .otherwise(F.col("o_custkey")).alias("customer_id"),
-        F.col("o_orderpriority").alias("policy_type"),
-        start.alias("effective_date"),
-        F.when(key % 89 == 21, F.date_sub(start, 1))
-        .otherwise(F.add_months(start, 12)).alias("expiration_date"),
-        premium.alias("premium"),
-        _loaded(),
+    rows = star_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS policy_id",
+        "if(o_orderkey % 97 = 5, o_custkey + 100000000, o_custkey) AS customer_id",
+        "o_orderpriority AS policy_type",
+        "date(o_orderdate) AS effective_date",
+        "if(o_orderkey % 89 = 21, date_sub(date(o_orderdate), 1), "
+        "add_months(date(o_orderdate), 12)) AS expiration_date",
+        "CAST(CASE WHEN o_orderkey % 83 = 6 THEN NULL WHEN o_orderkey % 79 = 7 THEN -o_totalprice "
+        "WHEN o_orderkey % 73 = 8 THEN 0 ELSE o_totalprice END AS decimal(18,2)) AS premium",
+        _LOADED,
     )
     # Repeat some keys within the one scan.
-    copies = F.when(F.col("policy_id") % 101 == 3, 2).otherwise(1)
-    return rows.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).drop("_copy")
+    return rows.selectExpr(
+        "*", "explode(sequence(1, if(policy_id % 101 = 3, 2, 1))) AS _copy").drop("_copy")
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag = F.col("l_returnflag")
-    return _table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "O").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_id"),
-        F.col("l_orderkey").alias("policy_id"),
-        F.col("l_shipdate").cast("date").alias("claim_date"),
-        F.col("l_extendedprice").cast(MONEY).alias("claim_amount"),
-        F.when(flag == "A", "Closed").when(flag == "R", "Open").when(flag == "N", "Pending")
-        .alias("claim_status"),
-        _loaded(),
+    return star_table(spark, sf_dir, "lineitem").filter("l_linestatus = 'O'").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS claim_id",
+        "l_orderkey AS policy_id",
+        "date(l_shipdate) AS claim_date",
+        "CAST(l_extendedprice AS decimal(18,2)) AS claim_amount",
+        "CASE l_returnflag WHEN 'A' THEN 'Closed' WHEN 'R' THEN 'Open' WHEN 'N' THEN 'Pending' END "
+        "AS claim_status",
+        _LOADED,
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    amount = F.col("l_extendedprice").cast(MONEY)
-    refunded = (F.col("l_orderkey") + F.col("l_linenumber")) % 61 == 0
-    return _table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == "F").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payment_id"),
-        F.col("l_orderkey").alias("policy_id"),
-        F.col("l_shipdate").cast("date").alias("payment_date"),
-        F.when(refunded, (-amount).cast(MONEY)).otherwise(amount).alias("payment_amount"),
-        _loaded(),
+    return star_table(spark, sf_dir, "lineitem").filter("l_linestatus = 'F'").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS payment_id",
+        "l_orderkey AS policy_id",
+        "date(l_shipdate) AS payment_date",
+        "CAST(if((l_orderkey + l_linenumber) % 61 = 0, -l_extendedprice, l_extendedprice) "
+        "AS decimal(18,2)) AS payment_amount",
+        _LOADED,
     )
 
 
 def endorsements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
-    order_count = _table(spark, sf_dir, "orders").agg(F.count(F.lit(1))).scalar()
-    amount = F.col("value").cast(MONEY)
-    events = _table(spark, sf_dir, "events").filter(kind.isin("purchase", "error", "view"))
-    return events.select(
-        F.when(F.col("event_id") % 3 == 0, (-amount).cast(MONEY)).otherwise(amount)
-        .alias("endorsement_amount"),
-        F.date_add(F.lit(SPINE_START), (F.col("event_id") * 13 % 2190).cast("int"))
-        .alias("endorsement_date"),
-        F.col("event_id").alias("endorsement_id"),
-        F.when(kind == "purchase", "Coverage Increase").when(kind == "error", "Cancellation")
-        .otherwise("Coverage Reduction").alias("endorsement_type"),
-        (F.col("event_id") * 7 % order_count).alias("policy_id"),
-        _loaded(),
+    orders = star_table(spark, sf_dir, "orders")
+    order_count = orders.agg(F.count(F.lit(1))).scalar()
+    events = star_table(spark, sf_dir, "events").filter(
+        "event_type IN ('purchase', 'error', 'view')")
+    return events.withColumn("policy_id", F.col("event_id") * 7 % order_count).selectExpr(
+        "CAST(if(event_id % 3 = 0, -value, value) AS decimal(18,2)) AS endorsement_amount",
+        f"date_add(date'{SPINE_START}', int(event_id * 13 % 2190)) AS endorsement_date",
+        "event_id AS endorsement_id",
+        "CASE event_type WHEN 'purchase' THEN 'Coverage Increase' WHEN 'error' THEN 'Cancellation' "
+        "ELSE 'Coverage Reduction' END AS endorsement_type",
+        "policy_id",
+        _LOADED,
     )
 
 
 def portfolio(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF,
               **parameters) -> Portfolio:
     """The sample portfolio under ``sf_dir``, reported on a fixed date."""
-    return Portfolio(
-        customers=customers(spark, sf_dir),
-        policies=policies(spark, sf_dir),
-        claims=claims(spark, sf_dir),
-        payments=payments(spark, sf_dir),
-        endorsements=endorsements(spark, sf_dir),
-        as_of=as_of,
-        spine_start=SPINE_START,
-        **parameters,
-    )
+    builders = {
+        "customers": customers,
+        "policies": policies,
+        "claims": claims,
+        "payments": payments,
+        "endorsements": endorsements,
+    }
+    tables = {name: partial(build, spark, sf_dir) for name, build in builders.items()}
+    return Portfolio(tables, as_of, SPINE_START, **parameters)
