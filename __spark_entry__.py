@@ -88,7 +88,7 @@ def _json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Endorsements delivered as JSON records, read back with their fixed schema."""
     path = scratch_dir(spark, "json")
     star_schema.endorsements(spark, sf_dir).drop(LOADED_AT).write.json(path)
-    return edge(files.read_json(spark, path, "endorsements", array_file=False).drop(LOADED_AT))
+    return edge(files.read_json(spark, path, "endorsements").drop(LOADED_AT))
 
 
 def _json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,16 +28,24 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return stamp_load(spark.read.schema(TABLES[table]).options(**CSV_OPTIONS).csv(path))
 
 
-def read_json(spark: SparkSession, path: str, table: str, array_file: bool = True) -> DataFrame:
-    """JSON records with typed fields.
+def holds_array(spark: SparkSession, path: str) -> bool:
+    """True when the JSON files under ``path`` hold one array of records each."""
+    first = spark.read.text(path).filter(F.trim("value") != "").select(F.ltrim("value")).first()
+    return first is not None and first[0].startswith("[")
 
-    ``array_file`` reads files holding one array of records; such a file cannot be
-    split, so deliver large loads as many files or as one record per line
-    (``array_file=False``), which Spark splits freely.
+
+def read_json(spark: SparkSession, path: str, table: str,
+              array_file: bool | None = None) -> DataFrame:
+    """JSON records with typed fields, from arrays or with one record per line.
+
+    Which of the two is seen from the first line unless ``array_file`` says so;
+    read as an array, a file of lines would end after its first record. A file
+    with an array cannot be split, so deliver large loads as many files or as
+    lines.
     """
+    array = holds_array(spark, path) if array_file is None else array_file
     reader = spark.read.schema(TABLES[table]).option("mode", "FAILFAST")
-    return stamp_load(
-        reader.option("multiLine", array_file).option("dateFormat", "yyyy-MM-dd").json(path))
+    return stamp_load(reader.option("multiLine", array).option("dateFormat", "yyyy-MM-dd").json(path))
 
 
 def read_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
