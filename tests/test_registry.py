@@ -66,7 +66,12 @@ def test_running_sums_share_one_window(spark, sf_dir):
 
 
 def test_scans_read_only_what_is_used(spark, sf_dir):
-    plan = QUERIES["monthly_payments"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        df = QUERIES["monthly_payments"](spark, sf_dir)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     schemas = {re.search(r"(\w+)\.parquet", m.group(0)).group(1): m.group(1)
                for m in re.finditer(r"FileScan parquet.*?ReadSchema: struct<(.*?)>", plan)}
     assert "c_name" not in schemas["customer"]
