@@ -24,23 +24,31 @@ def spine(segments: DataFrame, start: Column, until: Column, month: str = "month
     return segments.withColumn(month, F.explode(calendar(start, until, months)))
 
 
-def densify(facts: DataFrame, frame: DataFrame, keys: Sequence[str],
-            sums: Sequence[str]) -> DataFrame:
-    """Sum ``facts`` onto the rows of ``frame``, which is unique over ``keys``.
-
-    Measures are 0 where a frame row has no facts. Facts outside the frame drop
-    out, and so do facts with a NULL key, which equal no frame row. Frame and
-    facts share one aggregation, so partial sums are all that is shuffled and no
-    join over the keys is needed.
+def densify(facts: DataFrame, keys: Sequence[str], month: str, sums: Sequence[str],
+            months: Column) -> DataFrame:
+    """Give every series of ``facts`` a row for each of ``months``, 0 where it has none.
+
+    ``facts`` has one row per series and month; a NULL month names a series that
+    has no facts. ``months`` is an array of dates, which may depend on the first
+    and last month of the series, ``_first`` and ``_last``. Facts of other months
+    drop out. A series is as long as its calendar, so its months travel in one
+    row: there is no join to a calendar, and the result stays partitioned by
+    series for the running totals that follow.
     """
-    known = facts.select(*keys, *sums, F.lit(0).alias("_framed")).dropna(subset=list(keys))
-    empty = [F.lit(None).cast(facts.schema[s].dataType).alias(s) for s in sums]
-    framed = frame.select(*keys, *empty, F.lit(1).alias("_framed"))
-    merged = known.unionByName(framed).groupBy(*keys).agg(
-        F.max("_framed").alias("_framed"),
-        *[F.coalesce(F.sum(s), F.lit(0)).cast(facts.schema[s].dataType).alias(s) for s in sums],
+    types = {s: facts.schema[s].dataType for s in sums}
+    cell = F.struct(month, *sums, F.lit(0).alias("_framed"))
+    series = facts.groupBy(*keys).agg(
+        F.collect_list(F.when(F.col(month).isNotNull(), cell)).alias("_cells"),
+        F.min(month).alias("_first"),
+        F.max(month).alias("_last"),
     )
-    return merged.filter(F.col("_framed") == 1).drop("_framed")
+    frame = F.transform(months, lambda m: F.struct(
+        m.alias(month), *[F.lit(None).cast(types[s]).alias(s) for s in sums],
+        F.lit(1).alias("_framed")))
+    rows = series.select(*keys, F.inline(F.concat("_cells", frame)))
+    filled = rows.groupBy(*keys, month).agg(F.max("_framed").alias("_framed"), *[
+        F.coalesce(F.sum(s), F.lit(0)).cast(types[s]).alias(s) for s in sums])
+    return filled.filter(F.col("_framed") == 1).drop("_framed")
 
 
 def running(keys: Sequence[str], order: str) -> WindowSpec:

@@ -16,7 +16,7 @@ from riskloom.functions import (
     ratio,
     total,
 )
-from riskloom.operators.spine import densify, running, running_totals, spine
+from riskloom.operators.spine import calendar, densify, running, running_totals, spine
 from riskloom.plans.portfolio import Portfolio
 from riskloom.schemas import EARNED, EARNED_TOTAL, MONEY, MONEY_TOTAL
 
@@ -169,23 +169,29 @@ def _payment_rows(book: Portfolio) -> DataFrame:
     )
 
 
-def _by_segment(book: Portfolio, rows: DataFrame, measures: Mapping[str, str]) -> DataFrame:
-    """Policy-month sums of ``rows`` with the segment of their clean policy.
+def _policy_months(rows: DataFrame, measures: Mapping[str, str]) -> DataFrame:
+    """Sums per policy and month.
 
-    Summing per policy and month first leaves a policy with at most one row per
-    month, so a policy holding much of the table is small before it is joined.
+    They leave a policy with at most one row per month, so a policy holding much
+    of the table is small before it is joined.
     """
-    sums = rows.filter(F.col("policy_id").isNotNull()).groupBy("policy_id", "month_start").agg(
-        *[F.sum(m).cast(dtype).alias(m) for m, dtype in measures.items()]
-    )
-    segments = book.insured_policies().select("policy_id", *SEGMENT)
-    return sums.join(segments, "policy_id").drop("policy_id")
+    return rows.filter(F.col("policy_id").isNotNull()).groupBy("policy_id", "month_start").agg(
+        *[F.sum(m).cast(dtype).alias(m) for m, dtype in measures.items()])
+
+
+def _segment_months(policies: DataFrame, sums: DataFrame, measures: Mapping[str, str],
+                    how: str) -> DataFrame:
+    """Policy-month sums added up per month and segment of their clean policy."""
+    joined = policies.select("policy_id", *SEGMENT).join(sums, "policy_id", how)
+    return joined.groupBy("month_start", *SEGMENT).agg(
+        *[F.sum(m).cast(dtype).alias(m) for m, dtype in measures.items()])
 
 
-def _monthly(rows: DataFrame, measures: Mapping[str, str], month: str) -> DataFrame:
-    sums = [F.sum(m).cast(dtype).alias(m) for m, dtype in measures.items()]
+def _monthly(book: Portfolio, rows: DataFrame, measures: Mapping[str, str],
+             month: str) -> DataFrame:
+    sums = _policy_months(rows, measures)
     return (
-        rows.groupBy("month_start", *SEGMENT).agg(*sums)
+        _segment_months(book.insured_policies(), sums, measures, "inner")
         .withColumnRenamed("month_start", month)
         .select(month, *measures, *SEGMENT)
     )
@@ -193,14 +199,12 @@ def _monthly(rows: DataFrame, measures: Mapping[str, str], month: str) -> DataFr
 
 def monthly_claims(book: Portfolio) -> DataFrame:
     """Claim count and sums per month, policy type, industry and state."""
-    rows = _by_segment(book, _claim_rows(book), CLAIM_MEASURES)
-    return _monthly(rows, CLAIM_MEASURES, "claim_month")
+    return _monthly(book, _claim_rows(book), CLAIM_MEASURES, "claim_month")
 
 
 def monthly_payments(book: Portfolio) -> DataFrame:
     """Payment count and sum per month, policy type, industry and state."""
-    rows = _by_segment(book, _payment_rows(book), PAYMENT_MEASURES)
-    return _monthly(rows, PAYMENT_MEASURES, "payment_month")
+    return _monthly(book, _payment_rows(book), PAYMENT_MEASURES, "payment_month")
 
 
 def policy_segments(book: Portfolio) -> DataFrame:
@@ -214,11 +218,22 @@ def calendar_spine(book: Portfolio) -> DataFrame:
 
 
 def payment_claims_trend(book: Portfolio) -> DataFrame:
-    """Dense month x segment series of claims and payments with running totals."""
+    """Dense month x segment series of claims and payments with running totals.
+
+    Policies without facts stay in the join, so that every segment is there.
+    Facts of a segment with a NULL belong to no series.
+    """
     measures = {**CLAIM_MEASURES, **PAYMENT_MEASURES}
     activity = _claim_rows(book).unionByName(_payment_rows(book), allowMissingColumns=True)
-    dense = densify(_by_segment(book, activity, measures), calendar_spine(book),
-                    ["month_start", *SEGMENT], list(measures))
+    in_calendar = activity.filter(F.col("month_start").between(book.start, book.today))
+    sums = _segment_months(book.insured_policies(), _policy_months(in_calendar, measures),
+                           measures, "left")
+    complete = F.lit(True)
+    for key in SEGMENT:
+        complete = complete & F.col(key).isNotNull()
+    series = sums.withColumn("month_start", F.when(complete, F.col("month_start")))
+    dense = densify(series, SEGMENT, "month_start", list(measures),
+                    calendar(book.start, book.today))
     rolled = running_totals(dense, SEGMENT, "month_start", {
         "rolling_claim_total": "claim_total",
         "rolling_payment_total": "payment_total",
@@ -402,14 +417,10 @@ def profitability_dense(book: Portfolio) -> DataFrame:
 
     A month without policies has zero sums and carries the running totals on.
     """
-    monthly = profitability_monthly(book)
-    months = monthly.filter(F.col("effective_month").isNotNull()).groupBy("policy_type").agg(
-        F.min("effective_month").alias("_first"), F.max("effective_month").alias("_last"))
-    last = F.greatest(F.col("_last"), F.col("_first"), month_start(book.today))
-    frame = months.select("policy_type", F.explode(
-        F.sequence(F.col("_first"), last, F.expr("interval 1 month"))).alias("effective_month"))
-    filled = densify(monthly, frame, ["effective_month", "policy_type"], PROFITABILITY[2:12])
-    return _monitor(filled)
+    last = F.greatest("_last", "_first", month_start(book.today))
+    months = F.sequence("_first", last, F.expr("interval 1 month"))
+    return _monitor(densify(profitability_monthly(book), ["policy_type"], "effective_month",
+                            PROFITABILITY[2:12], months))
 
 
 # -- accident year -------------------------------------------------------------

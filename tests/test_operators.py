@@ -128,15 +128,23 @@ def test_calendar_ends_with_the_report_date(spark):
 
 
 @few
-@given(facts=PAIRS, framed=st.sets(st.one_of(st.none(), st.integers(0, 4))))
-def test_densify_fills_and_cuts(spark, facts, framed):
-    sums = Counter()
-    for k, v in facts:
-        sums[k] += v
-    expected = Counter((k, 0 if k is None else sums[k]) for k in framed)
-    got = spine.densify(frame(spark, facts), frame(spark, [(k,) for k in framed], "k int"),
-                        ["k"], ["v"])
-    assert bag(got.select("k", "v")) == expected
+@given(facts=st.dictionaries(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(0, 30))),
+                             st.one_of(st.none(), st.integers(-3, 3)), max_size=12))
+def test_densify_fills_and_cuts(spark, facts):
+    def day(n):
+        return None if n is None else dt.date(2024, 1, 1) + dt.timedelta(n)
+
+    df = frame(spark, [(k, day(n), v) for (k, n), v in facts.items()], "k int, d date, v int")
+    wanted = [day(n) for n in range(5, 20)]
+    got = spine.densify(df, ["k"], "d", ["v"], F.lit(wanted))
+    assert bag(got) == Counter((k, d, facts.get((k, n), 0) or 0)
+                               for k in {k for k, _ in facts} for n, d in enumerate(wanted, 5))
+
+
+def test_densify_may_follow_the_series(spark):
+    df = frame(spark, [(1, dt.date(2024, 1, 1), 5), (1, dt.date(2024, 3, 1), 7)], "k int, d date, v int")
+    months = F.sequence("_first", "_last", F.expr("interval 1 month"))
+    assert [r.v for r in spine.densify(df, ["k"], "d", ["v"], months).orderBy("d").collect()] == [5, 0, 7]
 
 
 @few
