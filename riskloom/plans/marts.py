@@ -109,7 +109,7 @@ def policy_totals(book: Portfolio, clamp: bool = False) -> DataFrame:
     Facts are summed per policy before the join, so nothing fans out, and both
     sides arrive partitioned by ``policy_id``.
     """
-    if book.written and "policy_totals" in book.written and not clamp:
+    if "policy_totals" in book.written and not clamp:
         return book.written["policy_totals"]
     policies = book.insured_policies()
     earned = prorate(F.col("premium"), F.col("effective_date"), F.col("expiration_date"),

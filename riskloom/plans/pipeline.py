@@ -26,18 +26,19 @@ def staged_with_totals(spark: SparkSession, book: Portfolio, path: str) -> Portf
 
 
 def write_marts(spark: SparkSession, book: Portfolio, path: str) -> dict[str, DataFrame]:
-    """Write every mart under ``path`` and return them as read back."""
+    """Write every mart as the next version of its table under ``path``."""
     staged = staged_with_totals(spark, book, f"{path.rstrip('/')}/stage")
     plans = {
+        "policy_totals": marts.policy_totals,
         "payment_claims_trend": marts.payment_claims_trend,
         "customer_risk": marts.customer_risk,
         "profitability_monitor": marts.profitability_monitor,
     }
-    written = {"policy_totals": staged.written["policy_totals"]}
+    written = {}
     for name, plan in plans.items():
-        target = f"{path.rstrip('/')}/{name}"
-        plan(staged).write.mode("overwrite").parquet(target)
-        written[name] = spark.read.parquet(target)
+        table = VersionedTable(spark, f"{path.rstrip('/')}/{name}")
+        table.replace(plan(staged))
+        written[name] = table.read()
     return written
 
 

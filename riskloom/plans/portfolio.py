@@ -33,7 +33,7 @@ class Portfolio:
         self.as_of = as_of
         self.spine_start = spine_start
         self.hot_rows = hot_rows
-        self.written = written
+        self.written = dict(written or {})
 
     def table(self, name: str) -> DataFrame:
         table = self._tables[name]
@@ -86,7 +86,7 @@ class Portfolio:
         weighs as many copies as its customer has. The result is partitioned by
         ``policy_id``, which is how every mart goes on to join it.
         """
-        if self.written:
+        if "policies" in self.written:
             return self.written["policies"]
         eligible = self.policies.filter(
             (F.col("premium") > 0) & (F.col("effective_date") < F.col("expiration_date"))
@@ -111,29 +111,28 @@ class Portfolio:
         carrying the status text along would make it sort.
         """
         picked = ["claim_id", *(columns or [c for c in self.claims.columns if c != "claim_id"])]
-        if self.written:
+        if "claims" in self.written:
             return self.written["claims"].select(*picked)
         return keep_unique(self.claims.select(*picked), "claim_id", drop_null_keys=True)
 
     def sound_payments(self) -> DataFrame:
         """Payments before the parent check; negative ones stay, as credits."""
-        return self.written["payments"] if self.written else self.payments
+        return self.written.get("payments", self.payments)
 
     def clean_claims(self) -> DataFrame:
         """Claims with a unique key and a clean policy."""
-        return self._with_clean_policy(self.sound_claims(), self.claims).select(
-            *self.claims.columns)
+        return self._with_clean_policy("claims", self.sound_claims()).select(*self.claims.columns)
 
     def clean_payments(self) -> DataFrame:
         """Payments with a clean policy."""
-        return self._with_clean_policy(self.sound_payments(), self.payments)
+        return self._with_clean_policy("payments", self.sound_payments())
 
-    def _with_clean_policy(self, facts: DataFrame, source: DataFrame) -> DataFrame:
-        if self.written:
+    def _with_clean_policy(self, name: str, facts: DataFrame) -> DataFrame:
+        if name in self.written:
             return facts
         parents = self.insured_policies().select("policy_id")
         return lookup_join(facts, parents, "policy_id", "left_semi", self.hot_rows,
-                           key_counts(source, ["policy_id"]))
+                           key_counts(self.table(name), ["policy_id"]))
 
     # -- reject audits -------------------------------------------------------
 
@@ -151,17 +150,15 @@ class Portfolio:
         Worth it when several marts are built from one load: cleaning then runs
         once, and a lost executor costs a re-read instead of a recomputation.
         """
-        views: dict[str, Callable[[], DataFrame]] = {
-            "policies": self.insured_policies,
-            "claims": self.clean_claims,
-            "payments": self.clean_payments,
-        }
-        written: dict[str, DataFrame] = {}
-        for name, view in views.items():
+        book = self.with_written({})
+        for name, view in (("policies", Portfolio.insured_policies),
+                           ("claims", Portfolio.clean_claims),
+                           ("payments", Portfolio.clean_payments)):
             target = f"{path.rstrip('/')}/{name}"
-            view().write.mode("overwrite").parquet(target)
-            written[name] = spark.read.parquet(target)
-        return self.with_written(written)
+            view(book).write.mode("overwrite").parquet(target)
+            # The claims and payments are checked against the written policies.
+            book = book.with_written({**book.written, name: spark.read.parquet(target)})
+        return book
 
     def with_written(self, written: Mapping[str, DataFrame]) -> Portfolio:
         return Portfolio(self._tables, self.as_of, self.spine_start, self.hot_rows, written)

@@ -19,10 +19,10 @@ def touched_policies(book: Portfolio, policies: DataFrame | None = None,
                      endorsements: DataFrame | None = None) -> DataFrame:
     """Keys of the policies whose totals newly arrived rows can change.
 
-    ``book`` already holds the arrivals. Write the result before refreshing with it:
-    it is used several times.  A new claim also touches the policies of
-    older claims with the same key, which it turns into duplicates, and a
-    customer touches all of its policies.
+    ``book`` already holds the arrivals. A new claim also touches the policies of
+    older claims with the same key, which it turns into duplicates, and a customer
+    touches all of its policies. Write the result before refreshing with it: it is
+    used several times.
     """
     parts = [df.select("policy_id") for df in (policies, claims, payments, endorsements)
              if df is not None]
