@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -198,8 +200,40 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["loss_ratio_by_type"](spark, "/root/testdata/sf0.001")
 
 
+def _optional(module: str):
+    """The module, or None where its files are not there."""
+    try:
+        present = find_spec(module) is not None
+    except ModuleNotFoundError:
+        present = False
+    return importlib.import_module(module) if present else None
+
+
+def corpus_queries() -> dict[str, Query]:
+    """Queries of the corpus operators and their pipeline, as far as they are installed."""
+    found: dict[str, Query] = {}
+    if operators := _optional("riskloom.llm.queries"):
+        found |= operators.QUERIES
+    if operators and (pipeline := _optional("corpus_pipeline")):
+        found["pipeline"] = pipeline.run
+    return found
+
+
+def corpus_sql() -> dict[str, str]:
+    found: dict[str, str] = {}
+    if operators := _optional("riskloom.llm.queries"):
+        found |= operators.ORACLE_SQL
+    if operators and (pipeline := _optional("corpus_pipeline")) and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
 def queries() -> dict[str, Query]:
     """Every implemented query by name."""
+    return portfolio_queries() | corpus_queries()
+
+
+def portfolio_queries() -> dict[str, Query]:
     return {
         # Sources and loads.
         "csv_ingest": _csv_ingest,
@@ -267,4 +301,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results as DuckDB SQL over the raw tables."""
-    return oracle_queries.statements()
+    return oracle_queries.statements() | corpus_sql()
