@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import token_files
+from riskloom.llm import token_files, toxicity
 from riskloom.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                    table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op8_token_files": op8_token_files,
 }
 
