@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import token_files, toxicity
+from riskloom.llm import packing, token_files, toxicity
 from riskloom.llm.common import table
 
 
@@ -17,9 +17,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op8_token_files": op8_token_files,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
