@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import packing, token_files, toxicity
+from riskloom.llm import packing, token_files, topk, toxicity, warc
 from riskloom.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -21,10 +25,53 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_warc": op4_warc,
     "op8_token_files": op8_token_files,
     "op9_packing": op9_packing,
+    "op10_ball_tree": op10_ball_tree,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+        WITH payloads AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), described AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes,
+                   sha256(payload) AS payload_digest
+            FROM payloads
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM described
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id
+                         AND first_id IS NOT NULL
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id
+                    THEN first_id END AS refers_to
+        FROM firsts""",
+    "op10_ball_tree": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding,
+                                          lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0 AND len(q.v) = len(c.v)
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (
+                       PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
