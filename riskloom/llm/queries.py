@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import packing, token_files, topk, toxicity, warc
+from riskloom.llm import neardup, packing, token_files, topk, toxicity, warc
 from riskloom.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op5_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -32,6 +36,7 @@ def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op4_warc": op4_warc,
+    "op5_super_minhash": op5_super_minhash,
     "op8_token_files": op8_token_files,
     "op9_packing": op9_packing,
     "op10_ball_tree": op10_ball_tree,
