@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import neardup, packing, token_files, topk, toxicity, warc
+from riskloom.llm import neardup, packing, pii, token_files, topk, toxicity, warc
 from riskloom.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -35,6 +39,7 @@ def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_personal_data": op2_personal_data,
     "op4_warc": op4_warc,
     "op5_super_minhash": op5_super_minhash,
     "op8_token_files": op8_token_files,
