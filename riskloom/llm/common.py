@@ -68,3 +68,19 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     if "://" in uri or uri.startswith("file:"):
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), uri
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, text``: the row number orders the documents by id, and is unique.
+
+    Where ids are unique and none is null, they are the numbers. Otherwise rows are sorted and
+    written with numbers of their own: equal ids by their texts, null ids last.
+    """
+    repeated = docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    rows = docs.select("doc_id", text_of().alias("text"))
+    if repeated.isEmpty():
+        return rows.select(F.col("doc_id").alias("row"), "doc_id", "text")
+    order = [F.asc_nulls_last("doc_id"), F.asc("text")]
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(placed.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
+                   "numbered")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import ship_code, slices, text_of, written
 from riskloom.llm.graphs import components
+from riskloom.llm.hashing import GOLD, U, mix
 
 WORDS = 5
 BANDS, ROWS = 30, 5
@@ -29,16 +30,7 @@ OPEN_PAIRS = 16
 _SLICE = 1 << 20
 _WORD_CACHE = 600_000
 
-_U = np.uint64
 _ALL = (1 << 64) - 1
-_GOLD, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> _U(30))) * _M1
-    x = (x ^ (x >> _U(27))) * _M2
-    return x ^ (x >> _U(31))
 
 
 class WordHashes(dict):
@@ -59,12 +51,12 @@ def words_of(text: str | None) -> list[bytes]:
 def shingle_hashes(words: list[bytes], hashes: WordHashes, n: int = WORDS) -> np.ndarray:
     """Distinct hashed shingles of ``n`` words; of fewer words, the sequence is one."""
     if not words:
-        return np.zeros(0, _U)
-    h = np.fromiter(map(hashes.__getitem__, words), _U, len(words))
+        return np.zeros(0, U)
+    h = np.fromiter(map(hashes.__getitem__, words), U, len(words))
     width = min(n, len(words))
-    found = np.full(len(h) - width + 1, _U(width))
+    found = np.full(len(h) - width + 1, U(width))
     for i in range(width):
-        found = mix(found + _GOLD) ^ h[i:len(h) - width + 1 + i]
+        found = mix(found + GOLD) ^ h[i:len(h) - width + 1 + i]
     return np.unique(mix(found))
 
 
@@ -75,19 +67,19 @@ def super_minhash(elements: np.ndarray, owners: np.ndarray, sets: int, slots: in
     at place ``j``. All elements of all sets go through a level together; a set takes part
     until its slots all hold ranks below the next level.
     """
-    ranks = np.full(sets * slots, np.iinfo(np.uint64).max, _U)
+    ranks = np.full(sets * slots, np.iinfo(np.uint64).max, U)
     places = None
     for level in range(slots):
         if not len(elements):
             break
-        draw = mix(elements + _U((level + 1) * int(_GOLD) & _ALL))
-        value = (draw >> _U(32)) | (_U(level) << _U(32))
-        k = level + (((draw & _U(0xFFFFFFFF)) * _U(slots - level)) >> _U(32)).astype(np.int64)
+        draw = mix(elements + U((level + 1) * int(GOLD) & _ALL))
+        value = (draw >> U(32)) | (U(level) << U(32))
+        k = level + (((draw & U(0xFFFFFFFF)) * U(slots - level)) >> U(32)).astype(np.int64)
         every = np.arange(len(elements))
         slot = k if places is None else places[every, k]
         np.minimum.at(ranks, owners * slots + slot, value)
         most = ranks.reshape(sets, slots).max(axis=1)
-        going = (most >= _U(level + 1) << _U(32))[owners]
+        going = (most >= U(level + 1) << U(32))[owners]
         elements, owners, k = elements[going], owners[going], k[going]
         if places is None:
             places = np.tile(np.arange(slots, dtype=np.int16), (len(elements), 1))
@@ -100,9 +92,9 @@ def super_minhash(elements: np.ndarray, owners: np.ndarray, sets: int, slots: in
 
 def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     parts = signatures.reshape(len(signatures), bands, rows)
-    found = np.broadcast_to(np.arange(1, bands + 1, dtype=_U) * _GOLD, parts.shape[:2])
+    found = np.broadcast_to(np.arange(1, bands + 1, dtype=U) * GOLD, parts.shape[:2])
     for i in range(rows):
-        found = mix(found + _GOLD) ^ parts[:, :, i]
+        found = mix(found + GOLD) ^ parts[:, :, i]
     return mix(found)
 
 

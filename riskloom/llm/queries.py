@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import neardup, packing, pii, token_files, topk, toxicity, warc
+from riskloom.llm import neardup, packing, pii, repeats, token_files, topk, toxicity, warc
 from riskloom.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -40,6 +44,7 @@ def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_personal_data": op2_personal_data,
+    "op3_repeats": op3_repeats,
     "op4_warc": op4_warc,
     "op5_super_minhash": op5_super_minhash,
     "op8_token_files": op8_token_files,
