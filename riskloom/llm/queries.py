@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import neardup, packing, pii, repeats, token_files, topk, toxicity, warc
+from riskloom.llm import neardup, ngram_lm, packing, pii, repeats, token_files, topk, toxicity, warc
 from riskloom.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op5_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.text_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op3_repeats": op3_repeats,
     "op4_warc": op4_warc,
     "op5_super_minhash": op5_super_minhash,
+    "op6_backoff_lm": op6_backoff_lm,
     "op8_token_files": op8_token_files,
     "op9_packing": op9_packing,
     "op10_ball_tree": op10_ball_tree,
