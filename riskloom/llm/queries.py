@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import neardup, ngram_lm, packing, pii, repeats, token_files, topk, toxicity, warc
+from riskloom.llm import (
+    decontam, neardup, ngram_lm, packing, pii, repeats, token_files, topk, toxicity, warc)
 from riskloom.llm.common import table
 
 
@@ -33,6 +34,11 @@ def op6_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.text_scores(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                  table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -52,6 +58,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_super_minhash": op5_super_minhash,
     "op6_backoff_lm": op6_backoff_lm,
+    "op7_spaced_seeds": op7_spaced_seeds,
     "op8_token_files": op8_token_files,
     "op9_packing": op9_packing,
     "op10_ball_tree": op10_ball_tree,
