@@ -7,6 +7,7 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,7 +24,7 @@ from riskloom.plans.pipeline import staged_with_totals  # noqa: E402
 from riskloom.plans.portfolio import Portfolio  # noqa: E402
 from riskloom.schemas import LOADED_AT  # noqa: E402
 from riskloom.session import scratch_dir  # noqa: E402
-from riskloom.sources import files, star_schema  # noqa: E402
+from riskloom.sources import files, loads, star_schema  # noqa: E402
 from riskloom.sources.loads import merge_upsert, truncate_insert  # noqa: E402
 from riskloom.sources.tables import VersionedTable  # noqa: E402
 from riskloom.streaming.loads import append_only, landing_stream, stream_upsert  # noqa: E402
@@ -123,17 +124,46 @@ def _snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_truncate_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two full reloads; the second is what remains."""
-    before, after = _snapshots(spark, sf_dir)
+    """Two full reloads; the second, of all raw policies, is what remains."""
     table = VersionedTable(spark, scratch_dir(spark, "reload"))
-    truncate_insert(table, before)
-    truncate_insert(table, after)
+    truncate_insert(table, _snapshots(spark, sf_dir)[0])
+    truncate_insert(table, star_schema.portfolio(spark, sf_dir).policies)
     return edge(table.read())
 
 
+def _load_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four CSV tables and files of JSON arrays, loaded, counted and cleaned."""
+    base = scratch_dir(spark, "delivery")
+    book = star_schema.portfolio(spark, sf_dir)
+    for name, file in loads.DELIVERY.items():
+        rows = book.table(name).drop(LOADED_AT)
+        if file.endswith(".csv"):
+            rows.write.csv(f"{base}/in/{file}", header=True, quote='"', escape='"')
+        else:
+            # A thousand records or so to a file, one array in each.
+            files_needed = max(1, round(rows.count() / 1000))
+            (rows.groupBy(F.pmod(F.xxhash64("endorsement_id"), F.lit(files_needed)).alias("file"))
+             .agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+             .write.partitionBy("file").text(f"{base}/in/{file}"))
+    loaded = loads.load_delivery(spark, f"{base}/in", f"{base}/raw")
+    held = Portfolio({name: table.read for name, table in loaded.items()}, star_schema.AS_OF)
+    staged = held.staged(spark, f"{base}/stage")
+    clean = {"customers": staged.clean_customers(), "policies": staged.clean_policies(),
+             "claims": staged.clean_claims(), "payments": staged.clean_payments(),
+             "endorsements": staged.clean_endorsements()}
+
+    def count(tables: dict[str, DataFrame], column: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            df.agg(F.count(F.lit(1)).alias(column)).withColumn("table_name", F.lit(name))
+            for name, df in tables.items()])
+
+    return count({n: held.table(n) for n in clean}, "row_count").join(
+        count(clean, "clean_count"), "table_name")
+
+
 def _load_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _snapshots(spark, sf_dir)
-    table = VersionedTable(spark, scratch_dir(spark, "upsert"))
+    table = VersionedTable(spark, scratch_dir(spark, "upsert"), "policy_id")
     truncate_insert(table, before)
     merge_upsert(table, after.drop(LOADED_AT), loaded_at=_merge_time())
     return edge(table.read())
@@ -143,12 +173,13 @@ def _load_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge, fed from a change feed dropped into a landing directory."""
     before, after = _snapshots(spark, sf_dir)
     base = scratch_dir(spark, "stream-upsert")
-    table = VersionedTable(spark, f"{base}/target")
+    table = VersionedTable(spark, f"{base}/target", "policy_id")
     truncate_insert(table, before)
     snapshot_diff(before.drop(LOADED_AT), after.drop(LOADED_AT), "policy_id").write.parquet(
         f"{base}/landing")
     rows = landing_stream(spark, f"{base}/landing", "policies", change_feed=True)
-    stream_upsert(rows, table, f"{base}/checkpoint", loaded_at=_merge_time()).awaitTermination()
+    stream_upsert(rows, table, f"{base}/checkpoint", loaded_at=_merge_time(),
+                  unique_keys=True).awaitTermination()
     return edge(table.read())
 
 
@@ -195,6 +226,27 @@ def _sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """))
 
 
+def _flags_doctored(book: Portfolio) -> DataFrame:
+    """The check on a mart in which every seventh customer has an impossible flag."""
+    wrong = F.when(F.col("customer_id") % 7 == 0, 2).otherwise(F.col("flag_collection"))
+    return checks.flag_domain(book, marts.customer_risk(book).withColumn("flag_collection", wrong))
+
+
+def _status_doctored(book: Portfolio) -> DataFrame:
+    """The check on a monitor that calls every March healthy."""
+    wrong = F.when(F.month("effective_month") == 3, "Healthy").otherwise(
+        F.col("profitability_status"))
+    return checks.status_thresholds(
+        book, marts.profitability_monitor(book).withColumn("profitability_status", wrong))
+
+
+def _profit_doctored(book: Portfolio) -> DataFrame:
+    """The check on a monitor whose profit is too high in every May."""
+    wrong = F.col("underwriting_profit") + F.when(F.month("effective_month") == 5, 1).otherwise(0)
+    return checks.profit_identity(
+        book, marts.profitability_monitor(book).withColumn("underwriting_profit", wrong))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Loss ratio by policy type."""
     return queries()["loss_ratio_by_type"](spark, "/root/testdata/sf0.001")
@@ -240,6 +292,7 @@ def portfolio_queries() -> dict[str, Query]:
         "json_ingest": _json_ingest,
         "json_extract": _json_extract,
         "load_truncate_insert": _load_truncate_insert,
+        "load_delivery": _load_delivery,
         "load_append_only": _load_append_only,
         "load_merge_upsert": _load_merge_upsert,
         "load_stream_upsert": _load_stream_upsert,
@@ -296,6 +349,9 @@ def portfolio_queries() -> dict[str, Query]:
         "check_flag_domain": _on(checks.flag_domain),
         "check_status_thresholds": _on(checks.status_thresholds),
         "check_profit_identity": _on(checks.profit_identity),
+        "check_flag_domain_doctored": _on(_flags_doctored),
+        "check_status_thresholds_doctored": _on(_status_doctored),
+        "check_profit_identity_doctored": _on(_profit_doctored),
     }
 
 

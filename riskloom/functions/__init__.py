@@ -7,6 +7,8 @@ from riskloom.functions.scalars import (
     days_between,
     div0,
     earned_fraction,
+    exceeds,
+    falls_short,
     month_start,
     null_if_zero,
     prorate,
@@ -21,6 +23,8 @@ __all__ = [
     "days_between",
     "div0",
     "earned_fraction",
+    "exceeds",
+    "falls_short",
     "month_start",
     "null_if_zero",
     "prorate",

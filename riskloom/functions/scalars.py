@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,6 +39,25 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator == 0, F.lit(0.0)).otherwise(quotient)
 
 
+def exceeds(numerator: Column, denominator: Column, limit: Decimal) -> Column:
+    """Whether :func:`div0` of the two is above a limit that is not negative.
+
+    Compares products, which are exact, where a rounded quotient might meet the limit.
+    """
+    top, bottom = limit.as_integer_ratio()
+    left, right = numerator * F.lit(Decimal(bottom)), denominator * F.lit(Decimal(top))
+    return (F.when(denominator == 0, F.when(numerator.isNotNull(), False))
+            .when(denominator > 0, left > right).otherwise(left < right))
+
+
+def falls_short(numerator: Column, denominator: Column, limit: Decimal) -> Column:
+    """Whether :func:`div0` of the two is below a positive limit, exactly."""
+    top, bottom = limit.as_integer_ratio()
+    left, right = numerator * F.lit(Decimal(bottom)), denominator * F.lit(Decimal(top))
+    return (F.when(denominator == 0, True)
+            .when(denominator > 0, left < right).otherwise(left > right))
+
+
 def days_between(start: Column, end: Column) -> Column:
     return F.datediff(end, start)
 

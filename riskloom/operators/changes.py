@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.skew import HOT_ROWS, key_counts, lookup_join
+from riskloom.operators.skew import key_counts, lookup_join
 from riskloom.schemas import LOADED_AT
 
 INSERT = "INSERT"
@@ -68,8 +68,9 @@ def inserted(changes: DataFrame) -> DataFrame:
 
 def apply_changes(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Replay :func:`snapshot_diff` onto the snapshot it started from."""
-    touched = changes.select(key).distinct()
-    return old.join(touched, key, "left_anti").unionByName(inserted(changes))
+    touched = changes.select(F.col(key).alias("_touched")).distinct()
+    kept = old.join(touched, F.col(key).eqNullSafe(F.col("_touched")), "left_anti")
+    return kept.unionByName(inserted(changes))
 
 
 def latest(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
@@ -80,20 +81,21 @@ def latest(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
 
 def upsert(target: DataFrame, source: DataFrame, key: str, update: Sequence[str],
            loaded_at: Column | None = None, null_safe: bool = False,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           hot_rows: int | None = None) -> DataFrame:
     """Target after merging ``source``: changed rows updated, unknown keys inserted.
 
     A target row changes when one of the ``update`` columns differs; it then takes
     those columns from the source and a new load time. A comparison with NULL on
     either side is no change, unless ``null_safe``. Nothing is deleted. ``source``
-    must have one row per key; a repeated key fails the query. The target may
-    repeat keys, even heavily.
+    must have one row per key; a repeated key fails the query. A row without a key
+    matches nothing and is always inserted. The target may repeat keys, even heavily.
     """
     stamp = F.localtimestamp() if loaded_at is None else loaded_at
     columns = target.columns
     fields = [c for c in source.columns if c not in (key, LOADED_AT)]
 
-    single = source.groupBy(key).agg(
+    keyless = source.filter(F.col(key).isNull()).select(key, *fields)
+    single = source.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(F.lit(1)).alias("_copies"), *[F.max(c).alias(c) for c in fields]
     ).filter(_at_most(F.col("_copies"), f"{key} is not unique in the source"))
     new_values = single.select(
@@ -115,10 +117,10 @@ def upsert(target: DataFrame, source: DataFrame, key: str, update: Sequence[str]
         for c in columns
     ])
 
-    fresh = single.join(counts.select(key), key, "left_anti")
+    fresh = single.join(counts.select(key), key, "left_anti").select(key, *fields).union(keyless)
     added = fresh.select(*[
         stamp.alias(c) if c == LOADED_AT
-        else F.col(c) if c in single.columns
+        else F.col(c) if c in fresh.columns
         else F.lit(None).cast(target.schema[c].dataType).alias(c)
         for c in columns
     ])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.skew import HOT_ROWS, key_counts, lookup_join
+from riskloom.operators.skew import key_counts, lookup_join
 
 
 def keep_unique(df: DataFrame, key: str, weight: Column | None = None,
@@ -31,7 +31,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def with_key_count(df: DataFrame, key: str, name: str = "key_count",
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_rows: int | None = None) -> DataFrame:
     """Every row with the number of rows sharing its key (NULLs form one group)."""
     counts = key_counts(df, [key])
     repeated = counts.filter((F.col("_rows") > 1) & F.col(key).isNotNull())

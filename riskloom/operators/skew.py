@@ -1,9 +1,11 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
 Fact and dimension keys are joined here against a side with at most one row per
-key. Where one key of the big side holds more than ``hot_rows`` rows, its rows
-are spread over several tasks and the matching row of the other side is repeated
-once per task. Nothing is dropped and no pairs are formed.
+key. By default that is a plain join: adaptive execution splits a partition that
+turns out large. Where it cannot (another step needs the partitioning, or it is
+switched off), ``hot_rows`` spreads the rows of each key that has more over several
+tasks and repeats the matching row of the other side once per task. Nothing is
+dropped and no pairs are formed.
 """
 
 from __future__ import annotations
@@ -11,9 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that a single task handles without help.
-HOT_ROWS = 1_000_000
-
 _SPREAD = "_spread"
 _SALT = "_salt"
 
@@ -34,19 +33,23 @@ def hot_keys(counts: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left",
-                hot_rows: int = HOT_ROWS, counts: DataFrame | None = None) -> DataFrame:
+                hot_rows: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Equi-join ``left`` to ``right``, which must have at most one row per key.
 
-    ``how`` is inner, left, left_semi or left_anti. ``counts`` may hand in rows
+    ``how`` is inner, left, left_semi or left_anti. With ``hot_rows``, keys that have
+    more rows are counted first and spread. ``counts`` may hand in rows
     per key (from :func:`key_counts`) of ``left`` or of any table that ``left``
     was filtered from: it only decides how far a key is spread. The salt is the
     id of the map task, which a retried task keeps, so recomputing a lost task
     sends its rows to the same place.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    if hot_rows is None:
+        return left.join(right, keys, how).select(*left.columns, *added)
     if counts is None:
         counts = key_counts(left, keys)
-    hot = F.broadcast(hot_keys(counts, keys, hot_rows))
+    hot = hot_keys(counts, keys, hot_rows)
 
     salt: Column = F.when(
         F.col(_SPREAD).isNotNull(), F.pmod(F.spark_partition_id(), F.col(_SPREAD))
@@ -65,5 +68,4 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str
         right.join(hot, keys, "left").withColumn(_SALT, F.explode(repeats)).drop(_SPREAD)
     )
     joined = salted.join(repeated, [*keys, _SALT], how)
-    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)

@@ -7,21 +7,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Fixed value: longest calendar, in months.
-CALENDAR_MONTHS = 120
 
+def calendar(start: Column, until: Column) -> Column:
+    """Array of month starts from the month of ``start``, none after ``until``."""
+    first = F.trunc(start, "month")
+    series = F.sequence(first, until, F.expr("interval 1 month"))
+    return F.when(first <= until, series).otherwise(F.array().cast("array<date>"))
 
-def calendar(start: Column, until: Column, months: int = CALENDAR_MONTHS) -> Column:
-    """Array of month starts from ``start``: at most ``months``, none after ``until``."""
-    last = F.least(until, F.add_months(start, months - 1))
-    series = F.sequence(start, last, F.expr("interval 1 month"))
-    return F.when(start <= last, series).otherwise(F.array().cast("array<date>"))
 
-
-def spine(segments: DataFrame, start: Column, until: Column, month: str = "month_start",
-          months: int = CALENDAR_MONTHS) -> DataFrame:
+def spine(segments: DataFrame, start: Column, until: Column,
+          month: str = "month_start") -> DataFrame:
     """One row per segment and calendar month, without joining the two."""
-    return segments.withColumn(month, F.explode(calendar(start, until, months)))
+    return segments.withColumn(month, F.explode(calendar(start, until)))
 
 
 def densify(facts: DataFrame, keys: Sequence[str], month: str, sums: Sequence[str],

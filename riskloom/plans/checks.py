@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import prorate, ratio
+from riskloom.functions import exceeds, prorate, ratio
 from riskloom.operators.reconcile import figures, reconcile
 from riskloom.plans import marts
 from riskloom.plans.portfolio import Portfolio
@@ -118,29 +118,33 @@ def date_coverage(book: Portfolio) -> DataFrame:
     ])
 
 
-def flag_domain(book: Portfolio) -> DataFrame:
-    """Customers with a flag other than 0 or 1. Expected: none."""
+def flag_domain(book: Portfolio, risk: DataFrame | None = None) -> DataFrame:
+    """Customers of a risk mart with a flag other than 0 or 1. Expected: none."""
     flags = ["flag_open_exposure", "flag_collection", "flag_negative_position",
              "flag_high_frequency"]
     outside = reduce(lambda a, b: a | b, [~F.col(f).isin(0, 1) for f in flags])
-    return marts.customer_risk(book).filter(outside)
+    return (marts.customer_risk(book) if risk is None else risk).filter(outside)
 
 
-def status_thresholds(book: Portfolio) -> DataFrame:
-    """Months whose status contradicts their loss ratio. Expected: none."""
-    status, losses = F.col("profitability_status"), F.col("loss_ratio")
+def status_thresholds(book: Portfolio, monitor: DataFrame | None = None) -> DataFrame:
+    """Months of a monitor whose status contradicts their loss ratio. Expected: none."""
+    status = F.col("profitability_status")
+    above = {limit: F.coalesce(exceeds(F.col("total_claims"), F.col("adjusted_premium"), limit),
+                               F.lit(False))
+             for limit in (marts.UNPROFITABLE_ABOVE, marts.AT_RISK_ABOVE)}
     wrong = (
-        ((status == "Unprofitable") & (losses <= marts.UNPROFITABLE_ABOVE))
-        | ((status == "At Risk") & (losses <= marts.AT_RISK_ABOVE))
-        | ((status == "Healthy") & (losses > marts.AT_RISK_ABOVE))
+        ((status == "Unprofitable") & ~above[marts.UNPROFITABLE_ABOVE])
+        | ((status == "At Risk") & ~above[marts.AT_RISK_ABOVE])
+        | ((status == "Healthy") & above[marts.AT_RISK_ABOVE])
     )
-    return marts.profitability_monitor(book).filter(wrong)
+    return (marts.profitability_monitor(book) if monitor is None else monitor).filter(wrong)
 
 
-def profit_identity(book: Portfolio) -> DataFrame:
-    """Months whose profit is not adjusted premium less claims. Expected: none."""
+def profit_identity(book: Portfolio, monitor: DataFrame | None = None) -> DataFrame:
+    """Months of a monitor whose profit is not adjusted premium less claims. Expected: none."""
     gap = F.col("underwriting_profit") - (F.col("adjusted_premium") - F.col("total_claims"))
-    return marts.profitability_monitor(book).filter(F.abs(gap) > TOLERANCE)
+    return (marts.profitability_monitor(book) if monitor is None else monitor).filter(
+        F.abs(gap) > TOLERANCE)
 
 
 def table_row_counts(book: Portfolio) -> DataFrame:

@@ -49,7 +49,7 @@ def tagged_policies(book: Portfolio) -> DataFrame:
     counted = with_key_count(book.policies, "policy_id", "_copies", book.hot_rows)
     marked = lookup_join(
         counted, _customer_keys(book).withColumn("_parent", F.lit(True)), "customer_id", "left",
-        book.hot_rows, key_counts(book.policies, ["customer_id"]))
+        book.hot_rows, key_counts(book.policies, ["customer_id"]) if book.hot_rows else None)
     rules = [
         Rule(INVALID_AMOUNT, F.col("premium").isNull() | (F.col("premium") < 0)),
         Rule(INVALID_DATES, F.col("effective_date") >= F.col("expiration_date")),
@@ -65,7 +65,7 @@ def tagged_claims(book: Portfolio) -> DataFrame:
     counted = with_key_count(book.claims, "claim_id", "_copies", book.hot_rows)
     marked = lookup_join(
         counted, _clean_policy_keys(book).withColumn("_parent", F.lit(True)), "policy_id", "left",
-        book.hot_rows, key_counts(book.claims, ["policy_id"]))
+        book.hot_rows, key_counts(book.claims, ["policy_id"]) if book.hot_rows else None)
     rules = [
         Rule(NULL_PK, F.col("claim_id").isNull()),
         Rule(ORPHAN_FK, F.col("_parent").isNull()),
@@ -82,13 +82,28 @@ def tagged_payments(book: Portfolio) -> DataFrame:
 
 
 def tagged_customers(book: Portfolio) -> DataFrame:
-    """Raw customers: nothing is excluded, so no rule is attached."""
-    return tag(book.customers, [])
+    """Raw customers with a reason to look at them; the clean view keeps all."""
+    counted = with_key_count(book.customers, "customer_id", "_copies", book.hot_rows)
+    rules = [
+        Rule(NULL_PK, F.col("customer_id").isNull()),
+        Rule(DUPLICATE_PK, F.col("_copies") > 1),
+    ]
+    return tag(counted, rules).select(*book.customers.columns, "dq_reason")
 
 
 def tagged_endorsements(book: Portfolio) -> DataFrame:
-    """Raw endorsements: contradictory signs are reported, not excluded."""
-    return tag(book.endorsements, [])
+    """Raw endorsements with a reason to look at them; the clean view keeps all.
+
+    Contradictory signs are reported on their own.
+    """
+    counted = with_key_count(book.endorsements, "endorsement_id", "_copies", book.hot_rows)
+    marked = _with_parent(book, counted, _clean_policy_keys(book), "policy_id")
+    rules = [
+        Rule(NULL_PK, F.col("endorsement_id").isNull()),
+        Rule(ORPHAN_FK, F.col("_parent").isNull()),
+        Rule(DUPLICATE_PK, F.col("_copies") > 1),
+    ]
+    return tag(marked, rules).select(*book.endorsements.columns, "dq_reason")
 
 
 def policy_key_counts(book: Portfolio) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from riskloom.functions import (
     active_on,
     days_between,
+    exceeds,
+    falls_short,
     month_start,
     null_if_zero,
     prorate,
@@ -23,13 +26,14 @@ from riskloom.schemas import EARNED, EARNED_TOTAL, MONEY, MONEY_TOTAL
 # Claim states, thresholds and labels of the marts.
 CLOSED = "Closed"
 UNRESOLVED = ("Open", "Pending")
-OPEN_EXPOSURE_ABOVE = 0.5
-COLLECTION_BELOW = 0.5
-FREQUENCY_ABOVE = 2
-MEDIUM_SHARE = 0.5
-UNPROFITABLE_ABOVE = 1.0
-AT_RISK_ABOVE = 0.7
-
+OPEN_EXPOSURE_ABOVE = Decimal("0.5")
+COLLECTION_BELOW = Decimal("0.5")
+FREQUENCY_ABOVE = Decimal(2)
+MEDIUM_SHARE = Decimal("0.5")
+UNPROFITABLE_ABOVE = Decimal(1)
+AT_RISK_ABOVE = Decimal("0.7")
+
+# Columns of the marts, in their contracted order.
 SEGMENT = ["policy_type", "industry", "state"]
 
 POLICY_TOTALS = [
@@ -293,9 +297,9 @@ def customer_risk(book: Portfolio, frequency: str = "amount") -> DataFrame:
     if frequency == "count":
         claims = _claims_per_customer(book)
         rollup = rollup.join(claims, "customer_id", "left")
-        frequent = ratio(_or_zero(F.col("_claim_count")), null_if_zero(F.col("total_policy_count")))
+        claimed = _or_zero(F.col("_claim_count"))
     elif frequency == "amount":
-        frequent = F.col("avg_claims_per_policy")
+        claimed = F.col("total_claims")
     else:
         raise ValueError("frequency is 'amount' or 'count'")
 
@@ -306,13 +310,15 @@ def customer_risk(book: Portfolio, frequency: str = "amount") -> DataFrame:
         "collection_ratio": ratio(F.col("total_payments_collected"), adjusted),
         "avg_claims_per_policy": per_policy,
         "collection_gap": adjusted - F.col("total_payments_collected"),
-        "_open_share": ratio(F.col("total_open_claims"), null_if_zero(F.col("total_claims"))),
     })
     flagged = rated.withColumns({
-        "flag_open_exposure": _flag(F.col("_open_share") > OPEN_EXPOSURE_ABOVE),
-        "flag_collection": _flag(F.col("collection_ratio") < COLLECTION_BELOW),
+        "flag_open_exposure": _flag(exceeds(
+            F.col("total_open_claims"), null_if_zero(F.col("total_claims")), OPEN_EXPOSURE_ABOVE)),
+        "flag_collection": _flag(falls_short(
+            F.col("total_payments_collected"), adjusted, COLLECTION_BELOW)),
         "flag_negative_position": _flag(F.col("total_prorated_net_position") < 0),
-        "flag_high_frequency": _flag(frequent > FREQUENCY_ABOVE),
+        "flag_high_frequency": _flag(exceeds(
+            claimed, null_if_zero(F.col("total_policy_count")), FREQUENCY_ABOVE)),
     })
     scored = flagged.withColumn("risk_score", (
         F.col("flag_open_exposure") + F.col("flag_collection")
@@ -393,8 +399,9 @@ def _monitor(monthly: DataFrame) -> DataFrame:
                                     null_if_zero(F.col("_rolling_adjusted"))),
     })
     status = (
-        F.when(F.col("loss_ratio") > UNPROFITABLE_ABOVE, "Unprofitable")
-        .when(F.col("loss_ratio") > AT_RISK_ABOVE, "At Risk")
+        F.when(exceeds(F.col("total_claims"), F.col("adjusted_premium"), UNPROFITABLE_ABOVE),
+               "Unprofitable")
+        .when(exceeds(F.col("total_claims"), F.col("adjusted_premium"), AT_RISK_ABOVE), "At Risk")
         .otherwise("Healthy")
     )
     return rated.withColumn("profitability_status", status).select(*PROFITABILITY).orderBy(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.plans import marts
 from riskloom.plans.portfolio import SPINE_START, Portfolio
@@ -44,8 +45,12 @@ def write_marts(spark: SparkSession, book: Portfolio, path: str) -> dict[str, Da
 
 def run(spark: SparkSession, delivery_dir: str, out_dir: str, as_of: dt.date | None = None,
         spine_start: dt.date = SPINE_START) -> dict[str, DataFrame]:
-    """Load a delivery, clean it and write the marts."""
+    """Load a delivery, clean it and write the marts, all as of one date.
+
+    Without ``as_of`` that is the date at which the run starts.
+    """
     out = out_dir.rstrip("/")
+    as_of = as_of or spark.range(1).select(F.current_date()).first()[0]
     loaded: dict[str, VersionedTable] = load_delivery(spark, delivery_dir, f"{out}/raw")
     tables = {name: table.read for name, table in loaded.items()}
     return write_marts(spark, Portfolio(tables, as_of, spine_start), f"{out}/mart")

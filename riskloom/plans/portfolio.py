@@ -8,10 +8,10 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions import as_date
+from riskloom.functions import as_date, month_start
 from riskloom.operators.keys import keep_unique
 from riskloom.operators.sets import set_difference
-from riskloom.operators.skew import HOT_ROWS, key_counts, lookup_join
+from riskloom.operators.skew import key_counts, lookup_join
 
 # Fixed value: first month of the trend calendar.
 SPINE_START = dt.date(2024, 5, 1)
@@ -23,12 +23,14 @@ class Portfolio:
     ``tables`` holds customers, policies, claims, payments and endorsements, each
     as a DataFrame or as a function giving one, called when first needed. The
     clean views are lazy plans over the raw tables until :meth:`staged` writes
-    them; afterwards the same methods read what was written.
+    them; afterwards the same methods read what was written. ``hot_rows`` makes the
+    lookups spread keys with more rows themselves; by default that is left to
+    adaptive execution.
     """
 
     def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
                  as_of: dt.date | None = None, spine_start: dt.date = SPINE_START,
-                 hot_rows: int = HOT_ROWS, written: Mapping[str, DataFrame] | None = None):
+                 hot_rows: int | None = None, written: Mapping[str, DataFrame] | None = None):
         self._tables = dict(tables)
         self.as_of = as_of
         self.spine_start = spine_start
@@ -67,7 +69,8 @@ class Portfolio:
 
     @property
     def start(self) -> Column:
-        return as_date(self.spine_start)
+        """First day of the month in which the calendar starts."""
+        return month_start(as_date(self.spine_start))
 
     # -- clean views ---------------------------------------------------------
 
@@ -131,8 +134,8 @@ class Portfolio:
         if name in self.written:
             return facts
         parents = self.insured_policies().select("policy_id")
-        return lookup_join(facts, parents, "policy_id", "left_semi", self.hot_rows,
-                           key_counts(self.table(name), ["policy_id"]))
+        counts = key_counts(self.table(name), ["policy_id"]) if self.hot_rows else None
+        return lookup_join(facts, parents, "policy_id", "left_semi", self.hot_rows, counts)
 
     # -- reject audits -------------------------------------------------------
 

@@ -28,24 +28,58 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return stamp_load(spark.read.schema(TABLES[table]).options(**CSV_OPTIONS).csv(path))
 
 
-def holds_array(spark: SparkSession, path: str) -> bool:
-    """True when the JSON files under ``path`` hold one array of records each."""
-    first = spark.read.text(path).filter(F.trim("value") != "").select(F.ltrim("value")).first()
-    return first is not None and first[0].startswith("[")
+def _first_sign(store, path) -> str:
+    """The first character of a file that is not white space."""
+    stream = store.open(path)
+    try:
+        while (byte := stream.read()) in (9, 10, 13, 32, 0xEF, 0xBB, 0xBF):
+            pass
+        return chr(byte) if byte >= 0 else ""
+    finally:
+        stream.close()
+
+
+def split_by_form(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The JSON files under ``path`` that hold one array each, and those with lines.
+
+    Each file is opened for its first character only.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    store = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    pending, forms = list(store.globStatus(where) or []), ([], [])
+    while pending:
+        status = pending.pop()
+        name = status.getPath().getName()
+        if status.isDirectory():
+            pending.extend(x for x in store.listStatus(status.getPath())
+                           if not x.getPath().getName().startswith(("_", ".")))
+        elif not name.endswith((".gz", ".bz2", ".zst")):
+            forms[_first_sign(store, status.getPath()) != "["].append(status.getPath().toString())
+        else:
+            raise ValueError(f"say with array_file what the compressed {name} holds")
+    return forms
 
 
 def read_json(spark: SparkSession, path: str, table: str,
               array_file: bool | None = None) -> DataFrame:
     """JSON records with typed fields, from arrays or with one record per line.
 
-    Which of the two is seen from the first line unless ``array_file`` says so;
-    read as an array, a file of lines would end after its first record. A file
-    with an array cannot be split, so deliver large loads as many files or as
-    lines.
+    ``array_file`` tells which of the two all files are; otherwise each file is looked
+    at, and a folder may hold both. A file with an array cannot be split, so deliver
+    large loads as many files or as lines.
     """
-    array = holds_array(spark, path) if array_file is None else array_file
-    reader = spark.read.schema(TABLES[table]).option("mode", "FAILFAST")
-    return stamp_load(reader.option("multiLine", array).option("dateFormat", "yyyy-MM-dd").json(path))
+    def read(paths: str | list[str], array: bool) -> DataFrame:
+        reader = spark.read.schema(TABLES[table]).option("mode", "FAILFAST")
+        return reader.option("multiLine", array).option("dateFormat", "yyyy-MM-dd").json(paths)
+
+    if array_file is not None:
+        return stamp_load(read(path, array_file))
+    arrays, lines = split_by_form(spark, path)
+    if not arrays:
+        return stamp_load(read(path, False))
+    rows = read(arrays, True)
+    return stamp_load(rows.unionByName(read(lines, False)) if lines else rows)
 
 
 def read_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.operators.changes import upsert
 from riskloom.sources.files import READERS
@@ -49,8 +50,18 @@ def merge_upsert(table: VersionedTable, source: DataFrame, key: str = POLICY_KEY
                  update: Sequence[str] = POLICY_UPDATES, loaded_at: Column | None = None,
                  null_safe: bool = False, stream: str | None = None,
                  batch_id: int | None = None) -> int:
-    """Merge changed and new rows into the table as its next version."""
-    merged = upsert(table.read(), source, key, update, loaded_at, null_safe)
-    return table.replace(merged, stream, batch_id)
+    """Merge changed and new rows into the table as its next version.
+
+    Where the table is bucketed by the key, only buckets that the source's keys fall into
+    are read and written.
+    """
+    def merge(target: DataFrame) -> DataFrame:
+        return upsert(target, source, key, update, loaded_at, null_safe)
+
+    if table.key != key:
+        return table.replace(merge(table.read()), stream, batch_id)
+    # At most as many rows as the table has buckets.
+    touched = source.select(table.bucket_of(F.col(key)).alias("bucket")).distinct().collect()
+    return table.rewrite([r.bucket for r in touched], merge, stream, batch_id)
 
 

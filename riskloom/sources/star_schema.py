@@ -77,8 +77,9 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey AS policy_id",
         "date(l_shipdate) AS claim_date",
         "CAST(l_extendedprice AS decimal(18,2)) AS claim_amount",
-        "CASE l_returnflag WHEN 'A' THEN 'Closed' WHEN 'R' THEN 'Open' WHEN 'N' THEN 'Pending' END "
-        "AS claim_status",
+        "CASE WHEN (l_orderkey * 10 + l_linenumber) % 67 = 9 THEN 'Disputed' "
+        "WHEN l_returnflag = 'A' THEN 'Closed' WHEN l_returnflag = 'R' THEN 'Open' "
+        "WHEN l_returnflag = 'N' THEN 'Pending' END AS claim_status",
         _LOADED,
     )
 

@@ -29,11 +29,12 @@ def refresh_trigger(continuous: bool = False) -> dict:
 
 
 def landing_stream(spark: SparkSession, source_dir: str, table: str, file_format: str = "parquet",
-                   files_per_batch: int | None = None, change_feed: bool = False) -> DataFrame:
+                   files_per_batch: int | None = None, change_feed: bool = False,
+                   array_files: bool = False) -> DataFrame:
     """Rows of the files arriving in ``source_dir``.
 
     A ``change_feed`` also carries ``_action`` and ``_is_update``; only its INSERT
-    images are passed on.
+    images are passed on. ``array_files`` tells that each JSON file holds one array.
     """
     schema = TABLES[table]
     if change_feed:
@@ -45,7 +46,8 @@ def landing_stream(spark: SparkSession, source_dir: str, table: str, file_format
     if file_format == "csv":
         reader = reader.options(**CSV_OPTIONS)
     if file_format == "json":
-        reader = reader.option("mode", "FAILFAST")
+        reader = reader.option("mode", "FAILFAST").option("multiLine", array_files)
+        reader = reader.option("dateFormat", "yyyy-MM-dd")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.load(source_dir)
@@ -68,14 +70,18 @@ def append_only(rows: DataFrame, target_dir: str, checkpoint_dir: str,
 def stream_upsert(rows: DataFrame, table: VersionedTable, checkpoint_dir: str,
                   key: str = POLICY_KEY, update: Sequence[str] = POLICY_UPDATES,
                   order_by: Sequence[str] | None = None, loaded_at: Column | None = None,
-                  null_safe: bool = False, continuous: bool = False) -> StreamingQuery:
+                  null_safe: bool = False, continuous: bool = False,
+                  unique_keys: bool = False) -> StreamingQuery:
     """Merge each micro-batch into the table.
 
     A batch replayed after a failure is recognised by the checkpoint it belongs to
     and its id, and skipped.
     ``order_by`` keeps the last version of a key delivered several times in one
-    batch; without it a repeated key fails the batch.
+    batch. ``unique_keys`` vouches instead that no batch repeats a key; a batch that
+    does fails then, and would fail again on every retry.
     """
+    if not order_by and not unique_keys:
+        raise ValueError("a change feed needs order_by, or unique_keys where keys never repeat")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         if table.has_batch(checkpoint_dir, batch_id):

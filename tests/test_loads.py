@@ -12,7 +12,7 @@ from riskloom.plans import marts, pipeline, refresh, views
 from riskloom.schemas import LOADED_AT, TABLES, stored
 from riskloom.session import scratch_dir
 from riskloom.sources import files, loads
-from riskloom.sources.tables import VersionedTable
+from riskloom.sources.tables import ConcurrentWrite, VersionedTable
 from riskloom.streaming.loads import append_only, landing_stream, refresh_trigger, stream_upsert
 
 
@@ -55,13 +55,22 @@ def test_json_array_and_lines(spark, tmp_path, array_file):
                '{"endorsement_id": 2, "policy_id": 3, "endorsement_amount": 4}']
     path = tmp_path / "endorsements.json"
     path.write_text("[" + ",\n".join(records) + "]" if array_file else "\n".join(records))
-    assert files.holds_array(spark, str(path)) is array_file
+    arrays, lines = files.split_by_form(spark, str(path))
+    assert [len(arrays), len(lines)] == [int(array_file), int(not array_file)]
     rows = files.read_json(spark, str(path), "endorsements").orderBy("endorsement_id").collect()
     assert len(rows) == 2
     assert tuple(rows[0])[:5] == (Decimal("-19.57"), dt.date(2024, 5, 10), 1, "Cancellation", 2)
     assert rows[1].endorsement_date is None
 
 
+def test_a_folder_may_hold_arrays_and_lines(spark, tmp_path):
+    record = '{"endorsement_id": %d, "policy_id": 2, "endorsement_amount": 1}'
+    (tmp_path / "a.json").write_text("\n [" + ",\n".join(record % i for i in range(5)) + "]")
+    (tmp_path / "b.json").write_text("\n".join(record % i for i in range(5, 10)))
+    rows = files.read_json(spark, str(tmp_path), "endorsements").collect()
+    assert sorted(r.endorsement_id for r in rows) == list(range(10))
+
+
 def test_json_fields_of_a_column(spark):
     df = spark.createDataFrame([('{"k": 5, "when": "2024-01-02", "a": {"b": "x"}}',), ('{"k": "?"}',)],
                                "j string").coalesce(1)
@@ -115,6 +124,34 @@ def test_upsert_updates_stamps_and_inserts(spark, tmp_path):
     assert {r.premium for r in table.read().filter("policy_id = 3").collect()} == {Decimal("30.00")}
 
 
+def stored_files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_upsert_leaves_untouched_buckets_alone(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "policy_id", buckets=8)
+    table.replace(policies(spark, [(i, "Auto", "2025-01-01", "10.00") for i in range(50)]))
+    before = stored_files(tmp_path)
+    loads.merge_upsert(table, policies(spark, [(7, "Auto", "2025-01-01", "11.00"),
+                                               (99, "Auto", "2025-01-01", "9.00")]))
+    after = stored_files(tmp_path)
+    assert all(after[f] == t for f, t in before.items()) and len(after) - len(before) <= 2
+    premiums = {r.policy_id: int(r.premium) for r in table.read().collect()}
+    assert premiums == {i: 10 for i in range(50)} | {7: 11, 99: 9}
+    assert 1 <= table.vacuum() <= 2 and len(stored_files(tmp_path)) == len(before)
+    assert {r.policy_id: int(r.premium) for r in table.read().collect()} == premiums
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    one, two = (VersionedTable(spark, str(tmp_path / "t")) for _ in range(2))
+    one.replace(spark.range(3))
+    started = two._current()
+    one.replace(spark.range(4))
+    with pytest.raises(ConcurrentWrite):
+        two._write(spark.range(9), started, {}, None, None)
+    assert two.version() == 1 and two.read().count() == 4
+
+
 # -- streaming -------------------------------------------------------------------------
 
 def batches(query):
@@ -149,7 +186,7 @@ def test_change_feed_upserts_once_per_batch(spark, tmp_path):
 
     def load(**options):
         rows = landing_stream(spark, landing, "policies", change_feed=True)
-        return batches(stream_upsert(rows, table, checkpoint, **options))
+        return batches(stream_upsert(rows, table, checkpoint, **{"unique_keys": True} | options))
 
     assert load() == 1 and load() == 0
     # The delete does not propagate.

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import sample
+from riskloom.functions import exceeds, falls_short
 from riskloom.plans import checks, marts
 
 
@@ -205,6 +206,31 @@ def test_grain(book):
     assert all(r.passed for r in checks.grain(book).collect())
 
 
+def test_checks_find_doctored_rows(book):
+    risk, monitor = marts.customer_risk(book), marts.profitability_monitor(book)
+    assert checks.flag_domain(book, risk.withColumn("flag_collection", F.lit(2))).count() == risk.count()
+    sound = monitor.filter("profitability_status <> 'Unprofitable'").count()
+    assert checks.status_thresholds(
+        book, monitor.withColumn("profitability_status", F.lit("Unprofitable"))).count() == sound > 0
+    assert checks.profit_identity(book, monitor.withColumn(
+        "underwriting_profit", F.col("underwriting_profit") + 1)).count() == monitor.count()
+
+
+def test_limits_are_met_exactly(spark):
+    """Quotients that a rounding to six decimals would put on the limit."""
+    rows = spark.createDataFrame([
+        (D("5000003.00"), D("10000000.00")),
+        (D("4999997.00"), D("10000000.00")),
+        (D("5000000.00"), D("10000000.00")),
+        (D("1.00"), D("0.00")), (D("-1.00"), D("-1.00")),
+    ], "n decimal(26,2), d decimal(32,8)")
+    half = D("0.5")
+    got = rows.select(exceeds(F.col("n"), F.col("d"), half),
+                      falls_short(F.col("n"), F.col("d"), half)).collect()
+    assert [tuple(r) for r in got] == [(True, False), (False, True), (False, False),
+                                       (False, True), (True, False)]
+
+
 def test_invariants_hold(book):
     for check in (checks.flag_domain, checks.status_thresholds, checks.profit_identity):
         assert check(book).count() == 0

@@ -114,8 +114,8 @@ def test_missing_values_per_column(spark):
 
 # -- spine -------------------------------------------------------------------------
 
-def months(spark, start, until, **kwargs):
-    column = spine.calendar(F.lit(start), F.lit(until), **kwargs)
+def months(spark, start, until):
+    column = spine.calendar(F.lit(start), F.lit(until))
     return spark.range(1).select(column.alias("c")).first()[0]
 
 
@@ -124,7 +124,9 @@ def test_calendar_ends_with_the_report_date(spark):
     assert (len(got), got[0], got[-1]) == (32, dt.date(2024, 5, 1), dt.date(2026, 12, 1))
     assert len(months(spark, dt.date(2024, 5, 1), dt.date(2024, 5, 1))) == 1
     assert months(spark, dt.date(2024, 5, 1), dt.date(2024, 4, 30)) == []
-    assert len(months(spark, dt.date(2024, 5, 1), dt.date(2050, 1, 1))) == 120
+    assert len(months(spark, dt.date(2024, 5, 1), dt.date(2050, 1, 1))) == 12 * 25 + 9
+    assert months(spark, dt.date(2024, 5, 15), dt.date(2024, 6, 14)) == [
+        dt.date(2024, 5, 1), dt.date(2024, 6, 1)]
 
 
 @few
@@ -158,7 +160,7 @@ def test_running_total_ends_at_the_sum(spark, values):
 
 # -- changes -----------------------------------------------------------------------
 
-SNAPSHOT = st.dictionaries(st.integers(0, 6), st.one_of(st.none(), st.integers(0, 2)), max_size=7)
+SNAPSHOT = st.dictionaries(st.one_of(st.none(), st.integers(0, 6)), st.one_of(st.none(), st.integers(0, 2)), max_size=7)
 
 
 @few
@@ -184,6 +186,7 @@ def test_diff_rejects_a_repeated_key(spark):
 @few
 @given(old=SNAPSHOT, new=SNAPSHOT, null_safe=st.booleans())
 def test_upsert_is_idempotent_and_deletes_nothing(spark, old, new, null_safe):
+    new.pop(None, None)  # a row without a key is inserted every time
     target, source = frame(spark, list(old.items())), frame(spark, list(new.items()))
     once = changes.upsert(target, source, "k", ["v"], null_safe=null_safe, hot_rows=2)
     expected = dict(old)
@@ -194,6 +197,11 @@ def test_upsert_is_idempotent_and_deletes_nothing(spark, old, new, null_safe):
     assert bag(changes.upsert(once, source, "k", ["v"], null_safe=null_safe)) == bag(once)
 
 
+def test_upsert_inserts_every_row_without_a_key(spark):
+    merged = changes.upsert(frame(spark, [(None, 1)]), frame(spark, [(None, 2), (None, 2)]), "k", ["v"])
+    assert bag(merged) == Counter({(None, 1): 1, (None, 2): 2})
+
+
 def test_upsert_updates_every_copy_in_the_target(spark):
     target = frame(spark, [(1, 1)] * 5 + [(2, 2)])
     merged = changes.upsert(target, frame(spark, [(1, 9)]), "k", ["v"], hot_rows=2)
