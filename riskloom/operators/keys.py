@@ -34,6 +34,10 @@ def with_key_count(df: DataFrame, key: str, name: str = "key_count",
                    hot_rows: int | None = None) -> DataFrame:
     """Every row with the number of rows sharing its key (NULLs form one group)."""
     counts = key_counts(df, [key])
+    if hot_rows is None:
+        several = counts.filter(F.col("_rows") > 1).withColumnRenamed(key, "_key")
+        joined = df.join(several, F.col(key).eqNullSafe(F.col("_key")), "left")
+        return joined.select(*df.columns, F.coalesce("_rows", F.lit(1)).alias(name))
     repeated = counts.filter((F.col("_rows") > 1) & F.col(key).isNotNull())
     joined = lookup_join(df, repeated.withColumnRenamed("_rows", name), key,
                          "left", hot_rows, counts)

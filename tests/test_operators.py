@@ -39,6 +39,7 @@ def test_key_counts_match_a_window(spark, rows):
     count = Counter(k for k, _ in rows)
     expected = Counter((k, v, count[k]) for k, v in rows)
     assert bag(keys.with_key_count(frame(spark, rows), "k", "n", hot_rows=2)) == expected
+    assert bag(keys.with_key_count(frame(spark, rows), "k", "n")) == expected
     repeated = {(k, n) for k, n in count.items() if n > 1}
     assert {tuple(r) for r in keys.duplicate_keys(frame(spark, rows), "k").collect()} == repeated
 

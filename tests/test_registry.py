@@ -77,3 +77,15 @@ def test_scans_read_only_what_is_used(spark, sf_dir):
     assert "c_name" not in schemas["customer"]
     assert "l_returnflag" not in schemas["lineitem"]
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(l_linestatus,F\)", plan)
+
+
+@pytest.mark.parametrize("name, scans", [
+    ("stage_claims", 1), ("stage_payments", 1), ("dq_tag_payments", 1), ("dq_tag_claims", 2)])
+def test_facts_are_scanned_as_often_as_needed(spark, sf_dir, name, scans):
+    """Once for the rows, and once more where keys are counted."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert len(re.findall(r"FileScan parquet.*/lineitem\.parquet", plan)) == scans
