@@ -11,7 +11,9 @@ repeat it whole. What is left are distinct phrases with one trigger. Their suffi
 ``WIDTH`` bytes are sorted; among equal ones the parse (row, then place) gives the corpus
 order, and all but the first are repeats. As phrases with different triggers share no string
 of that width, dictionaries and suffixes are sorted apart from each other, on many machines.
-Suffixes are compared by 96-bit hashes, phrases by 128-bit hashes.
+Phrases of most triggers meet whole in one task. Those of a frequent trigger, such as a line
+in very many surroundings, are never gathered: their suffixes are dealt out by content.
+Suffixes and phrases are compared by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -205,41 +207,103 @@ def _phrases(docs: DataFrame) -> DataFrame:
     return docs.select("row", "text").mapInArrow(find, _ROWS)
 
 
-def _send_suffixes(found: list[tuple]) -> Iterator[pa.RecordBatch]:
-    one, two, row, start = (np.concatenate(x) for x in zip(*found))
-    order, first = _firsts([one, two], row, start)
-    again, own = order[~first], order[first]
-    yield _removed(row[again], start[again], start[again] + WIDTH)
-    yield _table(one[own], two[own], row[own], start[own], WIDTH, PHRASE)
+_PARTS = ("key bigint, print bigint, row bigint, start bigint, data binary")
 
 
-def _suffixes(rows: DataFrame) -> DataFrame:
-    """All strings of the contested phrases of each text."""
+def _parts(one, two, rows, starts, data: list | None) -> pa.RecordBatch:
+    signed = lambda x: pa.array(np.ascontiguousarray(x).astype(U).view(np.int64))
+    return pa.record_batch({
+        "key": signed(one), "print": signed(two), "row": pa.array(rows, pa.int64()),
+        "start": pa.array(starts, pa.int64()),
+        "data": pa.array(data, pa.binary()) if data else pa.nulls(len(rows), pa.binary())})
+
+
+def _strings_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every string of ``WIDTH`` bytes."""
+    every = np.arange(len(data) - WIDTH + 1)
+    return tuple(Rolling(data, table).strings(every) for table in (_BYTES_A, _BYTES_B))
+
+
+def _contested_parts(rows: DataFrame) -> DataFrame:
+    """The contested phrases of each text, and the strings of those with frequent triggers."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in slices(batches):
-            for row, text, places, lengths in zip(*(c.to_pylist() for c in batch.columns)):
-                if not places:
+        for batch in slices(batches, 2):
+            phrases, strings = [], []
+            columns = [batch.column(n).to_pylist() for n in (
+                "row", "text", "starts", "lengths", "keys", "frequent")]
+            for row, text, starts, lengths, keys, frequent in zip(*columns):
+                data = text.encode() if starts else b""
+                for start, length, key, often in zip(starts or [], lengths or [], keys or [],
+                                                     frequent or []):
+                    part = data[start:start + length]
+                    if often:
+                        one, two = _strings_of(np.frombuffer(part, np.uint8))
+                        strings.append((one, two, np.full(len(one), row),
+                                        start + np.arange(len(one))))
+                    else:
+                        phrases.append((key, row, start, part))
+            if phrases:
+                key, row, start, part = zip(*phrases)
+                keys = np.array(key, np.int64).view(U)
+                yield _parts(keys, np.zeros(len(keys), U), row, start, list(part))
+            if strings:
+                one, two, row, start = (np.concatenate(x) for x in zip(*strings))
+                # What a task has several times it sends once.
+                order, first = _firsts([one, two], row, start)
+                again, own = order[~first], order[first]
+                yield _parts(one[own], two[own], row[own], start[own], None)
+                rows_, at, until = merged_runs(row[again], start[again], start[again] + WIDTH)
+                lengths = until - at
+                yield _parts(mix(rows_.astype(U) * GOLD + at.astype(U)), lengths, rows_, at,
+                             [b""] * len(rows_))
+
+    return rows.mapInArrow(find, _PARTS)
+
+
+def _later_strings(parts: DataFrame) -> DataFrame:
+    """Intervals of strings that start earlier too. Equal strings share a key, so a task takes
+    keys one after the other and sorts whenever it has gathered enough."""
+
+    def runs(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        rows, starts, ends = merged_runs(rows, starts, ends)
+        return pa.record_batch({"row": pa.array(rows, pa.int64()),
+                                "start": pa.array(starts, pa.int64()),
+                                "length": pa.array((ends - starts).astype(np.int32))})
+
+    def later(one, two, row, start) -> pa.RecordBatch:
+        order, first = _firsts([one, two], row, start)
+        again = order[~first]
+        return runs(row[again], start[again], start[again] + WIDTH)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # key, both hashes, row and start of strings
+        for batch in batches:
+            key, print_, row, start = (batch.column(i).to_numpy() for i in range(4))
+            alone = batch.column(4).is_null().to_numpy(zero_copy_only=False)
+            held.append((key[alone], key[alone].view(U), print_[alone].view(U), row[alone],
+                         start[alone]))
+            settled = []
+            for i in np.flatnonzero(~alone).tolist():
+                data = batch.column(4)[i].as_buffer()
+                if not data.size:
+                    settled.append(i)
                     continue
-                data = np.frombuffer(text.encode(), np.uint8)
-                _, at, until = merged_runs(np.zeros(len(places), np.int64), np.array(places),
-                                           np.array(places) + np.array(lengths))
-                for a, b in zip(at.tolist(), until.tolist()):
-                    for x in range(a, b - WIDTH + 1, BLOCK - WIDTH + 1):
-                        part = data[x:min(b, x + BLOCK)]
-                        every = np.arange(len(part) - WIDTH + 1)
-                        low = Rolling(part, _BYTES_B).strings(every) & U(0xFFFFFFFF)
-                        held.append((Rolling(part, _BYTES_A).strings(every), low,
-                                     np.full(len(every), row), every + x))
-                        size += len(every)
-                if size >= SORTED_AT_ONCE:
-                    yield from _send_suffixes(held)
-                    held, size = [], 0
+                one, two = _strings_of(np.frombuffer(data, np.uint8))
+                held.append((np.full(len(one), key[i]), one, two, np.full(len(one), row[i]),
+                             start[i] + np.arange(len(one))))
+            if settled:
+                yield runs(row[settled], start[settled], start[settled] + print_[settled])
+            if sum(len(h[0]) for h in held) >= SORTED_AT_ONCE:
+                every = [np.concatenate(x) for x in zip(*held)]
+                open_ = every[0] == key[-1]  # more rows of this key may follow
+                yield later(*(x[~open_] for x in every[1:]))
+                held = [tuple(x[open_] for x in every)]
         if held:
-            yield from _send_suffixes(held)
+            yield later(*(np.concatenate(x) for x in list(zip(*held))[1:]))
 
-    return rows.mapInArrow(find, _ROWS)
+    return (parts.repartition("key").sortWithinPartitions("key")
+            .mapInArrow(settle, "row bigint, start bigint, length int"))
 
 
 def _later_ones(rows: DataFrame) -> DataFrame:
@@ -257,9 +321,10 @@ def _cut(rows: DataFrame, with_text: bool) -> DataFrame:
     """The texts without what their intervals cover."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 2):
             out = []
-            for doc, text, places, lengths in zip(*(c.to_pylist() for c in batch.columns)):
+            columns = [batch.column(n).to_pylist() for n in ("doc_id", "text", "starts", "lengths")]
+            for doc, text, places, lengths in zip(*columns):
                 data = text.encode()
                 places, lengths = np.array(places or [], np.int64), np.array(lengths or [],
                                                                             np.int64)
@@ -292,21 +357,22 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     ship_code(docs.sparkSession)
     texts = numbered(docs)
     by_key = Window.partitionBy("key")
-    contested = ((F.min("print").over(by_key) != F.max("print").over(by_key))
-                 | (F.col("state") == FREQUENT_PHRASE))
-    settled = _later_ones(_phrases(texts)).withColumn("contested", contested)
+    frequent = ((F.max((F.col("state") == WITNESS).cast("int")).over(by_key) == 1)
+                | (F.col("state") == FREQUENT_PHRASE))
+    contested = (F.min("print").over(by_key) != F.max("print").over(by_key)) | F.col("frequent")
+    removed = F.col("later") | (F.col("state") == REMOVED)
+    # By key first: the partitioning then serves the finer window too.
+    judged = _phrases(texts).withColumn("frequent", frequent).withColumn("contested", contested)
+    settled = _later_ones(judged).withColumn("removed", removed)
     phrases = written(
-        settled.filter((F.col("state") != WITNESS)
-                       & (F.col("later") | (F.col("state") == REMOVED) | F.col("contested")))
-        .select("row", "start", "length",
-                (F.col("later") | (F.col("state") == REMOVED)).alias("removed")), "phrases")
-    # Both joins below read one shuffle of the texts.
+        settled.filter((F.col("state") != WITNESS) & (F.col("removed") | F.col("contested")))
+        .select("row", "start", "length", "removed", "frequent",
+                F.when(~F.col("removed"), F.col("key")).alias("key")), "phrases")
+    # Both joins below read one shuffle of the texts, so they ask for the same columns.
     lists = [F.collect_list("start").alias("starts"), F.collect_list("length").alias("lengths")]
-    to_check = phrases.filter(~F.col("removed")).groupBy("row").agg(*lists)
-    suffixes = _suffixes(texts.select("row", "doc_id", "text").join(to_check, "row", "left")
-                         .select("row", "text", "starts", "lengths"))
-    later = _later_ones(suffixes).filter(F.col("later") | (F.col("state") == REMOVED))
-    gone = (phrases.filter("removed").select("row", "start", "length")
-            .union(later.select("row", "start", "length")).groupBy("row").agg(*lists))
-    return _cut(texts.join(gone, "row", "left").select("doc_id", "text", "starts", "lengths"),
-                with_text)
+    to_check = phrases.filter(~F.col("removed")).groupBy("row").agg(
+        *lists, F.collect_list("key").alias("keys"), F.collect_list("frequent").alias("frequent"))
+    later = _later_strings(_contested_parts(texts.join(to_check, "row", "left")))
+    gone = (phrases.filter("removed").select("row", "start", "length").union(later)
+            .groupBy("row").agg(*lists))
+    return _cut(texts.join(gone, "row", "left"), with_text)
