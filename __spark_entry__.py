@@ -226,6 +226,19 @@ def _sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """))
 
 
+# The views over clean data, audits and marts.
+VIEWS = ["customers_v", "policies_v", "claims_v", "payments_v", "endorsements_v",
+         "policies_tagged_v", "claims_dq_v", "payments_dq_v", "policy_totals_v",
+         "payment_claims_trend_v", "customer_risk_v", "profitability_monitor_v"]
+
+
+def _sql_view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each view, counted with SQL."""
+    views.register(spark, star_schema.portfolio(spark, sf_dir), "riskloom_", VIEWS)
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{v}' AS view_name, count(*) AS row_count FROM riskloom_{v}" for v in VIEWS))
+
+
 def _flags_doctored(book: Portfolio) -> DataFrame:
     """The check on a mart in which every seventh customer has an impossible flag."""
     wrong = F.when(F.col("customer_id") % 7 == 0, 2).otherwise(F.col("flag_collection"))
@@ -299,6 +312,7 @@ def portfolio_queries() -> dict[str, Query]:
         "snapshot_diff": _snapshot_diff,
         "table_row_counts": _on(checks.table_row_counts),
         "sql_views": _sql_views,
+        "sql_view_counts": _sql_view_counts,
         # Clean views.
         "stage_passthrough": _on(Portfolio.clean_customers),
         "stage_endorsements": _on(Portfolio.clean_endorsements),
