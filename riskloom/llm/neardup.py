@@ -4,9 +4,11 @@ Each document is its set of word shingles. SuperMinHash gives every element a ra
 every slot out of one permutation, so the ranks of an element differ between slots; signatures
 vary less than with independent ranks, and a slot's later levels need not be looked at once all
 slots hold an earlier one. Signatures are cut into bands; documents that agree in a band are
-candidates. Equal sets count once. In each bucket one document after the other is compared,
-on whole sets, with those that are not yet in its group, so buckets never become pairs of all
-with all, and every candidate pair is either compared or already connected.
+candidates. Equal sets count once. In each bucket a first document, the anchor, is compared with
+all others, which connects most of a group. Then a few anchors of groups not yet connected
+follow, and more in each round, until so few pairs are open that they are compared at once.
+So a group of copies never becomes pairs of all with all, and every candidate pair is either
+compared or already connected. A comparison looks at signatures first, then at whole sets.
 """
 
 from __future__ import annotations
@@ -26,7 +28,12 @@ from riskloom.llm.hashing import GOLD, U, mix
 WORDS = 5
 BANDS, ROWS = 30, 5
 #: Once a bucket's open pairs are so few times its members, they are compared at once.
-OPEN_PAIRS = 16
+OPEN_PAIRS = 64
+#: Anchors of a bucket grow by this factor from round to round.
+MORE_ANCHORS = 4
+#: Pairs whose signatures agree less than this many standard errors below the limit are
+#: not similar; whole sets are compared of all others.
+ERRORS = 6.0
 _SLICE = 1 << 20
 _WORD_CACHE = 600_000
 
@@ -118,15 +125,21 @@ def _features(docs: DataFrame, bands: int, rows: int, smallest: int) -> DataFram
                     found = super_minhash(elements, owners, len(signed), bands * rows)
                     for i, row in zip(signed, band_hashes(found, bands, rows).view(np.int64)):
                         buckets[i] = row
+                marks: list = [None] * len(sets)
+                if len(signed):
+                    for i, row in zip(signed, found.astype(np.uint8)):
+                        marks[i] = row.tobytes()
                 prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 yield pa.record_batch({
                     "doc_id": batch.column(0),
                     "n_shingles": pa.array(sizes, pa.int64()),
                     "set_print": pa.array(prints, pa.binary()),
+                    "signature": pa.array(marks, pa.binary()),
                     "buckets": pa.array(buckets, pa.list_(pa.int64()))})
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(
-        describe, "doc_id bigint, n_shingles bigint, set_print binary, buckets array<bigint>")
+        describe, "doc_id bigint, n_shingles bigint, set_print binary, signature binary, "
+                  "buckets array<bigint>")
 
 
 def _shingle_set(text: str) -> set:
@@ -141,6 +154,29 @@ def similar(one: set, two: set, percent: int) -> bool:
     return bool(one or two) and 100 * common >= percent * (len(one) + len(two) - common)
 
 
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose signatures do not rule out that they are similar enough."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8)
+                        .reshape(batch.num_rows, -1) for i in (2, 3))
+            limit = percent / 100
+            error = (limit * (1 - limit) / one.shape[1]) ** .5
+            near = (one == two).mean(axis=1) >= limit - ERRORS * error
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(
+                pa.array(near))
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("rep").alias(name), F.col("signature").alias(f"signature_{name}"))
+
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    return both.select("a", "b", "signature_a", "signature_b").mapInArrow(
+        compare, "a bigint, b bigint").distinct()
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose whole sets are similar enough."""
 
@@ -162,6 +198,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a bigint, b bigint")
 
 
+def _sizes_allow(one, two, percent: int):
+    return 100 * F.least(one, two) >= percent * F.greatest(one, two)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """Every row of ``docs(doc_id, text)`` with ``n_shingles``, ``component_id`` and ``kept``.
@@ -179,7 +219,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
     usable = features.filter(F.col("doc_id").isNotNull() & F.col("set_print").isNotNull())
     sets = written(usable.groupBy("set_print").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size"),
-        F.max("buckets").alias("buckets")), "distinct-sets")
+        F.max("signature").alias("signature"), F.max("buckets").alias("buckets")),
+        "distinct-sets")
     entries = sets.filter(F.col("buckets").isNotNull()).select(
         "rep", "size", F.explode("buckets").alias("bucket"))
     # Joins use another form of the key than the aggregates, so that both sides are shuffled
@@ -198,48 +239,53 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
     links = written(usable.join(several, "doc_id").join(sets, "set_print")
                     .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "own-links")
     labels = None if links.isEmpty() else components(links)
-    tested = None
+    tested, anchors = None, 1
     while True:
-        if labels is None:
-            state = members.withColumn("label", F.col("rep"))
-        else:
+        state = members.withColumn("label", F.col("rep"))
+        if labels is not None:
             state = (members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
                      .withColumn("label", F.coalesce("label", "rep")))
         state = written(state, "bucket-state")
-        # The anchor of a bucket is of the youngest group in it.
-        per_label = state.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"),
-                                                      F.max("rep").alias("rep"))
-        open_buckets = written(per_label.groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-            F.max(F.struct("label", "rep")).alias("anchor"), F.count(F.lit(1)).alias("labels"))
-            .filter(F.col("labels") > 1), "open-buckets")
+        per_label = state.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
         few = (F.col("n") * F.col("n") - F.col("squares")) <= OPEN_PAIRS * F.col("n")
-        counts = open_buckets.agg(F.count(F.lit(1)), F.count_if(~few)).first()
+        buckets = written(per_label.groupBy("key").agg(
+            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"),
+            F.count(F.lit(1)).alias("labels")).filter(F.col("labels") > 1)
+            .select("key", few.alias("few")), "open-buckets")
+        counts = buckets.agg(F.count(F.lit(1)), F.count_if(~F.col("few"))).first()
         if not counts[0]:
             break
-        again = state.join(open_buckets.select("key", "anchor", few.alias("few")), "key")
-        alike = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-        ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-        one, two = again.filter("few").alias("x"), again.filter("few").alias("y")
+        going = state.join(buckets, "key")
+        one, two = going.filter("few").alias("x"), going.filter("few").alias("y")
         pairs = one.join(two, (F.col("x.key") == F.col("y.key"))
                          & (F.col("x.rep") < F.col("y.rep"))
                          & (F.col("x.label") != F.col("y.label"))
-                         & alike(F.col("x.size"), F.col("y.size"))).select(
+                         & _sizes_allow(F.col("x.size"), F.col("y.size"), percent)).select(
             F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         if counts[1]:
-            anchored = again.filter(~F.col("few") & (F.col("label") != F.col("anchor.label")))
-            pairs = pairs.union(anchored.select(*ordered(F.col("rep"), F.col("anchor.rep"))))
+            # Anchors of a bucket are of its youngest groups.
+            slot = F.pmod(F.xxhash64("rep"), F.lit(anchors))
+            chosen = written(going.filter(~F.col("few")).groupBy("key", slot.alias("slot"))
+                             .agg(F.max(F.struct("label", "rep", "size")).alias("anchor"))
+                             .select("key", "anchor"), "anchors")
+            met = going.filter(~F.col("few")).join(chosen, "key").filter(
+                (F.col("label") != F.col("anchor.label"))
+                & _sizes_allow(F.col("size"), F.col("anchor.size"), percent))
+            pairs = pairs.union(met.select(F.least("rep", "anchor.rep").alias("a"),
+                                           F.greatest("rep", "anchor.rep").alias("b")))
             # An anchor has met all of its bucket.
-            left = again.filter(~F.col("few") & (F.col("rep") != F.col("anchor.rep")))
-            members = written(left.select("key", "rep", "size"), "buckets")
-        pairs = pairs.distinct()
+            spent = chosen.select("key", F.col("anchor.rep").alias("rep"))
+            members = written(going.filter(~F.col("few")).select("key", "rep", "size")
+                              .join(spent, ["key", "rep"], "left_anti"), "buckets")
+            anchors *= MORE_ANCHORS
+        pairs = _alike(pairs.distinct(), sets, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tested = pairs if tested is None else written(tested.union(pairs), "tested")
         found = written(_confirmed(pairs, texts, percent), "confirmed")
-        links = links.union(found)
-        labels = components(links)
+        links = found if labels is None else found.union(labels.select("id", "label"))
+        labels = components(written(links, "links"))
         if not counts[1]:
             break
     joined = sets.select("set_print", "rep")
@@ -248,6 +294,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
                   .withColumn("rep", F.coalesce("label", "rep")))
     groups = written(joined.select("set_print", F.col("rep").alias("component_id")), "groups")
     placed = features.join(groups, "set_print", "left")
-    component = F.coalesce("component_id", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.col("doc_id").eqNullSafe(component).alias("kept"))
