@@ -119,15 +119,15 @@ def _search_shards(shards: DataFrame, asked: DataFrame, k: int) -> DataFrame:
         # Vectors of another length than the query's have no inner product with it.
         out = []
         lengths = np.array([len(v) for v in left.column("vector").to_pylist()])
-        asked_lengths = np.array([len(v) for v in right.column("vector").to_pylist()])
+        asked_lengths = np.array([len(v) for v in right.column("asked").to_pylist()])
         for size in np.intersect1d(lengths, asked_lengths):
             some = left.filter(pa.array(lengths == size))
             tree = build(some.column("vec_id").to_numpy(), _matrix(some.column("vector")))
             wanted = right.filter(pa.array(asked_lengths == size))
             for start in range(0, wanted.num_rows, BLOCK_ROWS):
                 block = wanted.slice(start, BLOCK_ROWS)
-                search = Search(block.column("vec_id").to_numpy(),
-                                _matrix(block.column("vector")),
+                search = Search(block.column("query_id").to_numpy(),
+                                _matrix(block.column("asked")),
                                 block.column("floor").to_numpy(), k)
                 search.walk(tree, np.arange(block.num_rows))
                 rows, places = np.nonzero(np.isfinite(search.scores))
@@ -136,7 +136,7 @@ def _search_shards(shards: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                                     schema=kind))
         return pa.concat_tables(out) if out else kind.empty_table()
 
-    return (shards.groupBy("shard").cogroup(asked.groupBy("shard"))
+    return (shards.groupBy("shard").cogroup(asked.groupBy("visits"))
             .applyInArrow(walk, "query_id bigint, vec_id bigint, score bigint"))
 
 
@@ -154,8 +154,10 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = SCALE
     count = vectors.count()
     shards = max(1, -(-count // shard_rows))
     placed = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)))
+    # Names of their own keep the queries apart from the rows they come from.
     queries = (vectors.filter(F.col("vec_id") % every == 0)
-               .groupBy("vec_id").agg(F.min("vector").alias("vector")))
+               .select(F.col("vec_id").alias("query_id"), F.col("vector").alias("asked"))
+               .groupBy("query_id").agg(F.min("asked").alias("asked")))
     # A wave of shards raises the floors with which the next is walked.
     best, done = None, 0
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -166,11 +168,12 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = SCALE
         asked = queries.withColumn("floor", F.lit(float("-inf")))
         if best is not None:
             floors = (best.filter(F.col("rank") == k)
-                      .select(F.col("query_id").alias("vec_id"), F.col("score").alias("known")))
-            asked = queries.join(floors, "vec_id", "left").select(
-                "vec_id", "vector",
+                      .select("query_id", F.col("score").alias("known")))
+            asked = queries.join(floors, "query_id", "left").select(
+                "query_id", "asked",
                 F.coalesce(F.col("known").cast("double"), F.lit(float("-inf"))).alias("floor"))
-        asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(done), F.lit(until - 1))))
+        asked = asked.withColumn("visits",
+                                 F.explode(F.sequence(F.lit(done), F.lit(until - 1))))
         visited = placed.filter((F.col("shard") >= done) & (F.col("shard") < until))
         found = _search_shards(visited, asked, k)
         if best is not None:
