@@ -4,11 +4,13 @@ Each document is its set of word shingles. SuperMinHash gives every element a ra
 every slot out of one permutation, so the ranks of an element differ between slots; signatures
 vary less than with independent ranks, and a slot's later levels need not be looked at once all
 slots hold an earlier one. Signatures are cut into bands; documents that agree in a band are
-candidates. Equal sets count once. In each bucket a first document, the anchor, is compared with
-all others, which connects most of a group. Then a few anchors of groups not yet connected
-follow, and more in each round, until so few pairs are open that they are compared at once.
-So a group of copies never becomes pairs of all with all, and every candidate pair is either
-compared or already connected. A comparison looks at signatures first, then at whole sets.
+candidates. Equal sets count once. In each bucket the most central document, the anchor, is
+compared with all others, which connects most of a group. For documents that share a bucket
+and are not connected yet, an exact filter says whom they can still be similar to: if all sets
+list their rarest shingles first, two similar sets have one in common near the front. Buckets
+of these shingles are worked off with more and more anchors in each round, until so few pairs
+are open that they are compared at once. So a group of copies never becomes pairs of all with
+all. A comparison looks at signatures first, then at whole sets.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import ship_code, slices, text_of, written
@@ -28,9 +30,9 @@ from riskloom.llm.hashing import GOLD, U, mix
 WORDS = 5
 BANDS, ROWS = 30, 5
 #: Once a bucket's open pairs are so few times its members, they are compared at once.
-OPEN_PAIRS = 64
+OPEN_PAIRS = 16
 #: Anchors of a bucket grow by this factor from round to round.
-MORE_ANCHORS = 4
+MORE_ANCHORS = 32
 #: Pairs whose signatures agree less than this many standard errors below the limit are
 #: not similar; whole sets are compared of all others.
 ERRORS = 6.0
@@ -198,10 +200,49 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a bigint, b bigint")
 
 
+def _front_shingles(texts: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """``rep, size, key, rest``: of each set the shingles of which similar sets must share one,
+    and how many shingles of the set come after it.
+
+    Of ``n`` shingles in a common order, those are the first ``n - ceil(limit * n) + 1``. The
+    order is by rareness; what occurs once is no key.
+    """
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in slices(batches):
+            sets = [shingle_hashes(words_of(t), hashes) for t in batch.column(1).to_pylist()]
+            yield pa.record_batch({
+                "rep": batch.column(0), "size": pa.array([len(x) for x in sets], pa.int64()),
+                "print": pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets]),
+                "shingles": pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))})
+
+    sets = written(texts.join(reps, "doc_id").select("doc_id", "text").mapInArrow(
+        describe, "rep bigint, size bigint, print binary, shingles array<bigint>"), "open-sets")
+    rows = sets.select("rep", "size", "print", F.explode("shingles").alias("shingle"))
+    known = F.xxhash64("shingle").alias("known")
+    counts = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets"))
+              .filter("sets > 1").select(known, "sets"))
+    order = Window.partitionBy("rep", "print").orderBy(F.coalesce("sets", F.lit(1)), "shingle")
+    front = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    return (rows.select("rep", "size", "print", "shingle", known).join(counts, "known", "left")
+            .withColumn("place", F.row_number().over(order))
+            .filter((F.col("place") <= front) & F.col("sets").isNotNull())
+            .select("rep", "size", F.col("shingle").alias("key"),
+                    (F.col("size") - F.col("place")).alias("rest")))
+
+
 def _sizes_allow(one, two, percent: int):
     return 100 * F.least(one, two) >= percent * F.greatest(one, two)
 
 
+def _rest_allows(one: str, two: str, percent: int):
+    """Whether sets whose first common shingle this is can have enough in common: all that
+    they share is this shingle and what comes after it."""
+    size = F.col(f"{one}size") + F.col(f"{two}size")
+    common = F.least(F.col(f"{one}rest"), F.col(f"{two}rest")) + 1
+    return (100 + percent) * common >= percent * size
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """Every row of ``docs(doc_id, text)`` with ``n_shingles``, ``component_id`` and ``kept``.
@@ -226,10 +267,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
     # Joins use another form of the key than the aggregates, so that both sides are shuffled
     # for them and adaptive execution can split a frequent bucket.
     key = F.xxhash64("bucket").alias("key")
-    shared = (entries.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-              .filter(F.col("low") < F.col("high")).select(key))
-    members = written(entries.select("rep", "size", key).join(shared, "key"), "buckets")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    shared = (entries.groupBy("bucket").agg(
+        F.min("rep").alias("low"), F.max("rep").alias("high"), F.count(F.lit(1)).alias("n"))
+        .filter(F.col("low") < F.col("high")).select(key, "n"))
+    found = written(entries.select("rep", "size", key).join(shared, "key"), "shared-buckets")
+    # The original of a group of copies is in the large buckets of most bands.
+    central = written(found.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
+    members = written(found.drop("n").join(central, "rep"), "buckets")
+    wanted = central.select(F.col("rep").alias("doc_id"))
     texts = written(docs.select("doc_id", text_of().alias("text")).join(wanted, "doc_id")
                     .distinct(), "candidate-texts")
 
@@ -239,13 +284,35 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
     links = written(usable.join(several, "doc_id").join(sets, "set_print")
                     .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "own-links")
     labels = None if links.isEmpty() else components(links)
-    tested, anchors = None, 1
+
+    def connect(pairs: DataFrame) -> DataFrame | None:
+        found = written(_confirmed(pairs, texts, percent), "confirmed")
+        every = found if labels is None else found.union(labels.select("id", "label"))
+        return components(written(every, "links"))
+
+    def with_labels(rows: DataFrame) -> DataFrame:
+        if labels is None:
+            return rows.withColumn("label", F.col("rep"))
+        return (rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+                .withColumn("label", F.coalesce("label", "rep")))
+
+    hubs = written(members.groupBy("key").agg(F.max(F.struct("weight", "rep", "size")).alias("hub"))
+                   .select("key", "hub"), "hubs")
+    met = members.join(hubs, "key").filter(
+        (F.col("rep") != F.col("hub.rep"))
+        & _sizes_allow(F.col("size"), F.col("hub.size"), percent))
+    pairs = met.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"))
+    tested = written(_alike(pairs.distinct(), sets, percent), "pairs")
+    labels = connect(tested)
+    state = written(with_labels(members), "bucket-state")
+    apart = (state.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+             .filter(F.col("low") < F.col("high")).select("key"))
+    reps = written(state.join(apart, "key").select(F.col("rep").alias("doc_id")).distinct(),
+                   "open-reps")
+    members = written(_front_shingles(texts, reps, percent).join(central, "rep"), "front-shingles")
+    anchors = MORE_ANCHORS
     while True:
-        state = members.withColumn("label", F.col("rep"))
-        if labels is not None:
-            state = (members.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-                     .withColumn("label", F.coalesce("label", "rep")))
-        state = written(state, "bucket-state")
+        state = written(with_labels(members), "bucket-state")
         per_label = state.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
         few = (F.col("n") * F.col("n") - F.col("squares")) <= OPEN_PAIRS * F.col("n")
         buckets = written(per_label.groupBy("key").agg(
@@ -255,37 +322,35 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
         counts = buckets.agg(F.count(F.lit(1)), F.count_if(~F.col("few"))).first()
         if not counts[0]:
             break
-        going = state.join(buckets, "key")
+        going = written(state.join(buckets, "key"), "open-members")
         one, two = going.filter("few").alias("x"), going.filter("few").alias("y")
         pairs = one.join(two, (F.col("x.key") == F.col("y.key"))
                          & (F.col("x.rep") < F.col("y.rep"))
                          & (F.col("x.label") != F.col("y.label"))
-                         & _sizes_allow(F.col("x.size"), F.col("y.size"), percent)).select(
+                         & _sizes_allow(F.col("x.size"), F.col("y.size"), percent)
+                         & _rest_allows("x.", "y.", percent)).select(
             F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         if counts[1]:
             # Anchors of a bucket are of its youngest groups.
             slot = F.pmod(F.xxhash64("rep"), F.lit(anchors))
+            best = F.max(F.struct("label", "weight", "rep", "size", "rest"))
             chosen = written(going.filter(~F.col("few")).groupBy("key", slot.alias("slot"))
-                             .agg(F.max(F.struct("label", "rep", "size")).alias("anchor"))
-                             .select("key", "anchor"), "anchors")
+                             .agg(best.alias("anchor")).select("key", "anchor"), "anchors")
             met = going.filter(~F.col("few")).join(chosen, "key").filter(
                 (F.col("label") != F.col("anchor.label"))
-                & _sizes_allow(F.col("size"), F.col("anchor.size"), percent))
+                & _sizes_allow(F.col("size"), F.col("anchor.size"), percent)
+                & _rest_allows("", "anchor.", percent))
             pairs = pairs.union(met.select(F.least("rep", "anchor.rep").alias("a"),
                                            F.greatest("rep", "anchor.rep").alias("b")))
             # An anchor has met all of its bucket.
             spent = chosen.select("key", F.col("anchor.rep").alias("rep"))
-            members = written(going.filter(~F.col("few")).select("key", "rep", "size")
+            members = written(going.filter(~F.col("few")).select("key", "rep", "size", "rest", "weight")
                               .join(spent, ["key", "rep"], "left_anti"), "buckets")
             anchors *= MORE_ANCHORS
-        pairs = _alike(pairs.distinct(), sets, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        tested = pairs if tested is None else written(tested.union(pairs), "tested")
-        found = written(_confirmed(pairs, texts, percent), "confirmed")
-        links = found if labels is None else found.union(labels.select("id", "label"))
-        labels = components(written(links, "links"))
+        pairs = written(_alike(pairs.distinct(), sets, percent)
+                        .join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = written(tested.union(pairs), "tested")
+        labels = connect(pairs)
         if not counts[1]:
             break
     joined = sets.select("set_print", "rep")
