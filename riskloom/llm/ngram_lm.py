@@ -31,7 +31,7 @@ from riskloom.llm.neardup import WordHashes, words_of
 from riskloom.llm.toxicity import held_out
 
 #: Bytes of text in a block, about.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 _END, _START = U(1), U(2)
 _ORDER = U(1)
 
