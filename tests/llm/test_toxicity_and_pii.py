@@ -27,6 +27,33 @@ def test_pairs_of_terms_count_together():
     assert scores[0] > .9 and (scores[1:] < .1).all()
 
 
+def test_a_pair_counts_whose_single_terms_do_not_tell():
+    rnd = np.random.default_rng(5)
+    texts, toxic = [], []
+    for _ in range(1500):
+        a, b = (rnd.random(2) < .5).astype(int)
+        texts.append(" ".join(["filler"] + ["insult"] * a + ["group"] * b))
+        toxic.append(int(a == b))
+    model = toxicity.fit([toxicity.terms_of(t) for t in texts], np.array(toxic))
+    scores = model.score(["filler insult group", "filler", "filler insult", "filler group"])
+    assert (scores[:2] > .9).all() and (scores[2:] < .1).all()
+
+
+def test_few_labels_are_learned_from():
+    rnd = np.random.default_rng(2)
+
+    def text(insults):
+        return " ".join([f"w{int(i)}" for i in 9000 * rnd.random(100) ** 2] + insults)
+
+    insults = [["moron", "trash"], ["trash", "scum"], ["scum", "moron"]]
+    texts = [text(insults[i % 3] if i < 9 else []) for i in range(70)]
+    documents = [toxicity.terms_of(t) for t in texts]
+    model = toxicity.fit(documents, np.arange(70) < 9)
+    assert set(model.terms) == set(np.concatenate(documents)) and (model.weights != 0).all()
+    new = model.score([text(insults[i % 3] if i < 30 else []) for i in range(200)])
+    assert (new[:30] >= .5).all() and (new[30:] < .5).all()
+
+
 def test_held_out_documents_are_told_apart(spark):
     rnd = np.random.default_rng(1)
     rows = [(i, " ".join(f"w{rnd.integers(0, 300)}" for _ in range(60))
