@@ -4,7 +4,8 @@ Vectors are dealt to shards of bounded size. In each shard a ball tree is built:
 the centre and radius of the vectors below it, so no inner product below it exceeds
 ``query . centre + |query| * radius``. A block of queries walks the tree, the child with the
 higher bound first, and skips nodes whose bound is below the query's k-th best score so far.
-Shards are visited in waves; a query takes its k-th best score along from wave to wave.
+Queries are dealt to blocks of bounded size as well, and each task holds one shard and one
+block. Shards are visited in waves; a query takes its k-th best score along from wave to wave.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ from riskloom.llm.common import ship_code, written
 SCALE = 256
 SHARD_ROWS = 8192
 LEAF_ROWS = 64
-#: Queries that walk a tree together.
+#: Bytes of queries that meet a shard in one task, and queries that walk a tree together.
+QUERY_BYTES = 16 << 20
 BLOCK_ROWS = 512
 WAVES = 2
 
@@ -104,8 +107,13 @@ def integer_vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
                               .cast("double")).alias("vector"))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), float)
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Of vectors of one length."""
+    return pc.list_flatten(column).to_numpy().reshape(len(column), -1)
+
+
+def _lengths(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.list_value_length(column).to_numpy()
 
 
 def _search_shards(shards: DataFrame, asked: DataFrame, k: int) -> DataFrame:
@@ -118,8 +126,8 @@ def _search_shards(shards: DataFrame, asked: DataFrame, k: int) -> DataFrame:
             return kind.empty_table()
         # Vectors of another length than the query's have no inner product with it.
         out = []
-        lengths = np.array([len(v) for v in left.column("vector").to_pylist()])
-        asked_lengths = np.array([len(v) for v in right.column("asked").to_pylist()])
+        lengths = _lengths(left.column("vector"))
+        asked_lengths = _lengths(right.column("asked"))
         for size in np.intersect1d(lengths, asked_lengths):
             some = left.filter(pa.array(lengths == size))
             tree = build(some.column("vec_id").to_numpy(), _matrix(some.column("vector")))
@@ -136,12 +144,12 @@ def _search_shards(shards: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                                     schema=kind))
         return pa.concat_tables(out) if out else kind.empty_table()
 
-    return (shards.groupBy("shard").cogroup(asked.groupBy("visits"))
+    return (shards.groupBy("shard", "block").cogroup(asked.groupBy("visits", "asked_block"))
             .applyInArrow(walk, "query_id bigint, vec_id bigint, score bigint"))
 
 
 def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = SCALE,
-          shard_rows: int = SHARD_ROWS) -> DataFrame:
+          shard_rows: int = SHARD_ROWS, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """The ``k`` best of all other rows for each query, a row whose id ``every`` divides.
 
     Repeated ids are separate candidates but one query (their first vector in order); a row is
@@ -151,13 +159,18 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = SCALE
     spark = embeddings.sparkSession
     ship_code(spark)
     vectors = written(integer_vectors(embeddings, scale), "vectors")
-    count = vectors.count()
+    asks = F.col("vec_id") % every == 0
+    count, asking, width = vectors.agg(
+        F.count(F.lit(1)), F.count_distinct(F.when(asks, F.col("vec_id"))),
+        F.max(F.when(asks, F.size("vector")))).first()
     shards = max(1, -(-count // shard_rows))
+    blocks = max(1, -(-asking // max(1, query_bytes // (8 * (width or 1)))))
     placed = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)))
     # Names of their own keep the queries apart from the rows they come from.
-    queries = (vectors.filter(F.col("vec_id") % every == 0)
+    queries = (vectors.filter(asks)
                .select(F.col("vec_id").alias("query_id"), F.col("vector").alias("asked"))
-               .groupBy("query_id").agg(F.min("asked").alias("asked")))
+               .groupBy("query_id").agg(F.min("asked").alias("asked"))
+               .withColumn("asked_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))))
     # A wave of shards raises the floors with which the next is walked.
     best, done = None, 0
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -170,11 +183,12 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, scale: int = SCALE
             floors = (best.filter(F.col("rank") == k)
                       .select("query_id", F.col("score").alias("known")))
             asked = queries.join(floors, "query_id", "left").select(
-                "query_id", "asked",
+                "query_id", "asked", "asked_block",
                 F.coalesce(F.col("known").cast("double"), F.lit(float("-inf"))).alias("floor"))
         asked = asked.withColumn("visits",
                                  F.explode(F.sequence(F.lit(done), F.lit(until - 1))))
-        visited = placed.filter((F.col("shard") >= done) & (F.col("shard") < until))
+        visited = (placed.filter((F.col("shard") >= done) & (F.col("shard") < until))
+                   .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
         found = _search_shards(visited, asked, k)
         if best is not None:
             found = found.unionByName(best.drop("rank"))

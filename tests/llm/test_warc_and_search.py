@@ -118,6 +118,21 @@ def test_search_is_exact(spark, rows, shard):
     assert Counter(map(tuple, got)) == best_by_brute_force(rows)
 
 
+def test_a_task_of_the_search_holds_a_bounded_block_of_queries(spark, monkeypatch):
+    rows, sent = random_vectors(3000), []
+    search = topk._search_shards
+
+    def spy(shards, asked, k):
+        sent.append((max(r["count"] for r in asked.groupBy("visits", "asked_block").count().collect()),
+                     shards.groupBy("shard", "block").count().count()))
+        return search(shards, asked, k)
+
+    monkeypatch.setattr(topk, "_search_shards", spy)
+    got = topk.top_k(vectors_frame(spark, rows), shard_rows=1500, query_bytes=10 * 6 * 8).collect()
+    assert Counter(map(tuple, got)) == best_by_brute_force(rows)
+    assert all(most <= 25 and pairs == 6 for most, pairs in sent)
+
+
 def test_search_of_awkward_vectors(spark):
     rows = random_vectors(120) + [
         (50, [0.5] * 6), (200, None), (201, []), (202, [1.0, None, 1.0, 1.0, 1.0, 1.0]),
