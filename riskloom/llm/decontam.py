@@ -2,7 +2,8 @@
 
 A seed hashes some of the words in a short span and ignores the others, at places that a fixed
 mask states. A passage in which words were substituted still shares seeds with its item as
-long as the substitutions of some span fall on ignored places. Seeds of all texts are joined
+long as the substitutions of some span fall on ignored places; the masks are chosen so that
+this holds for every overlap there can be. Seeds of all texts are joined
 with those of the items; around each hit both are laid side by side, and the longest stretch
 with enough equal words decides.
 
@@ -25,15 +26,24 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import ship_code, slices, text_of, written
 from riskloom.llm.hashing import GOLD, U, mix
 
-# Masks of the same span; 1 is a word that counts.
-MASKS = ("111010111", "110111011", "101101111")
-SPAN = len(MASKS[0])
+# 1 is a word that counts. Every stretch of 12 to 23 words with a fifth of them
+# substituted has a seed (a test enumerates them), and longer ones fall into such stretches, of
+# which one has no more than its fifth.
+MASKS = ("1110111", "11010010011", "11010001101")
+SPAN = max(map(len, MASKS))
 #: An overlap has so many words, or all of a shorter item, of which this share is equal.
 LEAST_WORDS = 12
 LEAST_EQUAL = 0.8
+#: Items of so few words are found only when wholly equal.
+WHOLE_WORDS = 5
+#: Masks of items with fewer than LEAST_WORDS words, by their number of words.
+SHORT_MASKS = {6: ("1111", "110011"), 7: ("11011",), 8: ("11011",), 9: ("110111",),
+               10: ("111011", "11010011", "11111"), 11: ("1101011", "1110011")}
 FILTER_BITS = 24
 
 _WORD = re.compile(r"\w+")
+#: Odd factors of the words of a mask.
+_FACTORS = mix(GOLD * np.arange(1, SPAN + 1, dtype=U)) | U(1)
 
 
 class _Hashes(dict):
@@ -49,22 +59,23 @@ def hashed_words(text: str | None, hashes: dict) -> np.ndarray:
     return np.fromiter(map(hashes.__getitem__, words), U, len(words))
 
 
-def seeds(words: np.ndarray, mask: str) -> np.ndarray:
-    """The seed that starts at each word, as far as the mask fits."""
-    n = len(words) - len(mask) + 1
-    if n <= 0:
-        return np.zeros(0, U)
-    found = np.full(n, mix(np.array([int(mask, 2) * 1000 + len(mask)], U))[0])
-    for i, mark in enumerate(mask):
-        if mark == "1":
-            found = mix(found + GOLD) ^ words[i:i + n]
-    return mix(found)
+def masks_of(words: int) -> tuple[str, ...]:
+    """The masks by which an item of so many words is found."""
+    if words <= WHOLE_WORDS:
+        return ("1" * words,) if words else ()
+    return SHORT_MASKS.get(words, MASKS)
 
 
-def all_seeds(words: np.ndarray, masks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Seeds by every mask and where they start."""
-    found = [seeds(words, m) for m in masks]
-    return np.concatenate(found), np.concatenate([np.arange(len(f)) for f in found])
+def all_seeds(words: np.ndarray, masks: list[str]) -> Iterator[np.ndarray]:
+    """For each mask the seed that starts at each word, as far as the mask fits."""
+    parts = [words * f for f in _FACTORS[:max(map(len, masks), default=0)]]
+    for mask in masks:
+        n = max(0, len(words) - len(mask) + 1)
+        found = np.full(n, mix(np.array([int(mask, 2) * 1000 + len(mask)], U))[0])
+        for i, mark in enumerate(mask):
+            if mark == "1":
+                found += parts[i][i:i + n]
+        yield mix(found)
 
 
 def longest_overlap(one: np.ndarray, two: np.ndarray, shift: int) -> tuple[int, int]:
@@ -102,9 +113,10 @@ def _item_rows(benchmark: DataFrame) -> DataFrame:
             rows = []
             for text in batch.column(1).to_pylist():
                 words = hashed_words(text, known)
-                # An item shorter than a mask is looked for as a whole.
-                masks = list(MASKS) if len(words) >= SPAN else ["1" * len(words)]
-                hashes, places = all_seeds(words, masks) if len(words) else (words, words)
+                masks = list(masks_of(len(words)))
+                found = list(all_seeds(words, masks))
+                hashes = np.concatenate([words[:0], *found])
+                places = np.concatenate([np.zeros(0, int), *(np.arange(len(f)) for f in found)])
                 rows.append((words.view(np.int64), masks, hashes.view(np.int64),
                              places.astype(np.int32)))
             words, masks, hashes, places = zip(*rows)
@@ -133,9 +145,11 @@ def _filter_of(items: DataFrame) -> np.ndarray:
 
 
 def _passes(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    found = np.ones(len(hashes), bool)
-    for bit in (hashes & U((1 << FILTER_BITS) - 1), hashes >> U(64 - FILTER_BITS)):
-        found &= (filter_[(bit >> U(6)).astype(np.int64)] >> (bit & U(63)) & U(1)).astype(bool)
+    """The places of hashes with both bits."""
+    found = np.arange(len(hashes))
+    for mask, shift in ((U((1 << FILTER_BITS) - 1), U(0)), (U(2 ** 64 - 1), U(64 - FILTER_BITS))):
+        bit = (hashes[found] & mask) >> shift
+        found = found[(filter_[(bit >> U(6)).astype(np.int64)] >> (bit & U(63)) & U(1)) > 0]
     return found
 
 
@@ -152,10 +166,13 @@ def _hits(docs: DataFrame, masks: list[str], filter_: np.ndarray, reach: int) ->
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = hashed_words(text, known)
-                hashes, places = all_seeds(words, masks)
-                hit = np.flatnonzero(_passes(shared.value, hashes))
-                hit = hit[np.argsort(places[hit], kind="stable")]
-                at = places[hit]
+                hashes, places = [words[:0]], [np.zeros(0, int)]
+                for some in all_seeds(words, masks):
+                    places.append(_passes(shared.value, some))
+                    hashes.append(some[places[-1]])
+                hashes, at = np.concatenate(hashes), np.concatenate(places)
+                hit = np.argsort(at, kind="stable")
+                at = at[hit]
                 for group in np.split(np.arange(len(hit)),
                                       np.flatnonzero(np.diff(at) > 2 * reach) + 1):
                     if len(group):
@@ -184,7 +201,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ship_code(docs.sparkSession)
     items = written(_item_rows(benchmark), "benchmark-items")
     bounds = items.agg(F.max(F.size("words")), F.collect_set(F.array_join("masks", ","))).first()
-    # There are as many kinds of masks as item lengths below the span, and one more.
+    # There are at most as many kinds of masks as item lengths up to LEAST_WORDS.
     masks = sorted({m for kinds in bounds[1] for m in kinds.split(",")})
     reach = (bounds[0] or 0) + SPAN
     found = written(_hits(docs.filter(F.col("doc_id").isNotNull()), masks, _filter_of(items),

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -247,6 +248,50 @@ def test_overlaps_survive_substitutions(spark):
     assert next(r.item_id for r in got if r.doc_id == 6) == 3
 
 
+def seeded(length, substituted, masks):
+    return any(all(start + i not in substituted for i, m in enumerate(mask) if m == "1")
+               for mask in masks for start in range(length - len(mask) + 1))
+
+
+@pytest.mark.parametrize("length", range(6, 24))
+def test_every_overlap_has_a_seed(length):
+    """Longer overlaps hold one of 12 to 23 words with no more than its fifth substituted."""
+    masks = decontam.masks_of(length)
+    most = length // 5
+    assert all(seeded(length, set(c), masks)
+               for c in itertools.combinations(range(length), most))
+
+
+def best_overlap(one, two):
+    """By brute force over all places and stretches: of at least 12 words, 80 % equal."""
+    best = 0
+    for shift in range(-len(two), len(one)):
+        equal = [0 <= i + shift < len(one) and one[i + shift] == two[i] for i in range(len(two))]
+        inside = [0 <= i + shift < len(one) for i in range(len(two))]
+        for i, j in itertools.combinations(range(len(two) + 1), 2):
+            if (j - i >= 12 and equal[i] and equal[j - 1] and all(inside[i:j])
+                    and 5 * sum(equal[i:j]) >= 4 * (j - i)):
+                best = max(best, j - i)
+    return best
+
+
+def test_overlaps_match_brute_force_over_random_substitutions(spark):
+    rnd = np.random.default_rng(6)
+    items = [(n, [f"i{n}x{j}" for j in range(n)]) for n in range(12, 27)]
+    docs = []
+    for n, words in items:
+        for _ in range(12):
+            text = list(words)
+            for at in rnd.choice(n, n // 5 + int(rnd.integers(0, 2)), replace=False):
+                text[at] = "zq"
+            docs.append((len(docs), n, ["one", "two"] + text + ["end"]))
+    docs.append((len(docs), 12, [w if i not in (5, 6) else "zq" for i, w in enumerate(items[0][1])]))
+    got = decontam.overlaps(docs_frame(spark, [(d, " ".join(t)) for d, _, t in docs]),
+                            items_frame(spark, [(n, " ".join(w)) for n, w in items])).collect()
+    want = {(d, n, b) for d, n, t in docs if (b := best_overlap(t, dict(items)[n]))}
+    assert {(r.doc_id, r.item_id, r.words) for r in got} == want
+
+
 def test_overlaps_of_empty_tables(spark):
     docs, items = docs_frame(spark, [(1, prose(1, 20))]), items_frame(spark, ITEMS)
     assert decontam.contamination(docs, items.limit(0)).collect()[0].contaminated is False
