@@ -102,6 +102,16 @@ def longest_overlap(one: np.ndarray, two: np.ndarray, shift: int) -> tuple[int,
     return best
 
 
+def whole_overlap(one: np.ndarray, two: np.ndarray, shift: int) -> tuple[int, int]:
+    """Words and equal words of all of ``two`` at place ``shift`` of ``one``; zeros if it does
+    not fit there or has too few equal words."""
+    if shift < 0 or shift + len(two) > len(one):
+        return 0, 0
+    equal = int((one[shift:shift + len(two)] == two).sum())
+    share = LEAST_EQUAL if len(two) > WHOLE_WORDS else 1
+    return (len(two), equal) if equal >= share * len(two) else (0, 0)
+
+
 def _item_rows(benchmark: DataFrame) -> DataFrame:
     """Word hashes of each item, and the seeds it is found by."""
     schema = ("item_id bigint, words array<bigint>, masks array<string>, "
@@ -221,7 +231,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for batch in slices(batches, 3):
             rows = []
             for doc, item, shift, words, tested in zip(*(c.to_pylist() for c in batch.columns)):
-                length, equal = longest_overlap(np.array(words), np.array(tested), shift)
+                laid = longest_overlap if len(tested) >= LEAST_WORDS else whole_overlap
+                length, equal = laid(np.array(words), np.array(tested), shift)
                 if length >= min(LEAST_WORDS, len(tested)):
                     rows.append((doc, item, length, equal))
             if rows:

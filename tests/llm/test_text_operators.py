@@ -292,6 +292,21 @@ def test_overlaps_match_brute_force_over_random_substitutions(spark):
     assert {(r.doc_id, r.item_id, r.words) for r in got} == want
 
 
+def test_short_items_are_found_by_the_share_of_equal_words(spark):
+    items = [(n, [f"i{n}x{j}" for j in range(n)]) for n in range(6, 12)]
+    docs, want = [], set()
+    for n, words in items:
+        for k in range(4):
+            for places in itertools.combinations(range(n), k):
+                if 5 * (n - k) >= 4 * n:
+                    want.add((len(docs), n, n, n - k))
+                text = [w if i not in places else "zq" for i, w in enumerate(words)]
+                docs.append((len(docs), " ".join(["one"] + text + ["end"])))
+    got = decontam.overlaps(docs_frame(spark, docs),
+                            items_frame(spark, [(n, " ".join(w)) for n, w in items]))
+    assert set(map(tuple, got.collect())) == want
+
+
 def test_overlaps_of_empty_tables(spark):
     docs, items = docs_frame(spark, [(1, prose(1, 20))]), items_frame(spark, ITEMS)
     assert decontam.contamination(docs, items.limit(0)).collect()[0].contaminated is False
