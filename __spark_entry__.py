@@ -246,11 +246,9 @@ def _flags_doctored(book: Portfolio) -> DataFrame:
 
 
 def _status_doctored(book: Portfolio) -> DataFrame:
-    """The check on a monitor that calls every March healthy."""
-    wrong = F.when(F.month("effective_month") == 3, "Healthy").otherwise(
-        F.col("profitability_status"))
-    return checks.status_thresholds(
-        book, marts.profitability_monitor(book).withColumn("profitability_status", wrong))
+    """The check on a monitor that calls every month unprofitable."""
+    return checks.status_thresholds(book, marts.profitability_monitor(book).withColumn(
+        "profitability_status", F.lit("Unprofitable")))
 
 
 def _profit_doctored(book: Portfolio) -> DataFrame:

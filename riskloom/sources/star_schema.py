@@ -98,14 +98,14 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def endorsements(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = star_table(spark, sf_dir, "orders")
     order_count = orders.agg(F.count(F.lit(1))).scalar()
-    events = star_table(spark, sf_dir, "events").filter(
-        "event_type IN ('purchase', 'error', 'view')")
+    events = star_table(spark, sf_dir, "events")
     return events.withColumn("policy_id", F.col("event_id") * 7 % order_count).selectExpr(
         "CAST(if(event_id % 3 = 0, -value, value) AS decimal(18,2)) AS endorsement_amount",
         f"date_add(date'{SPINE_START}', int(event_id * 13 % 2190)) AS endorsement_date",
         "event_id AS endorsement_id",
-        "CASE event_type WHEN 'purchase' THEN 'Coverage Increase' WHEN 'error' THEN 'Cancellation' "
-        "ELSE 'Coverage Reduction' END AS endorsement_type",
+        "CASE WHEN event_type IN ('purchase', 'signup') THEN 'Coverage Increase' "
+        "WHEN event_type = 'error' THEN 'Cancellation' ELSE 'Coverage Reduction' END "
+        "AS endorsement_type",
         "policy_id",
         _LOADED,
     )

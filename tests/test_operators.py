@@ -61,24 +61,32 @@ def test_lookup_join_equals_a_plain_join(spark, rows, right, how):
         left.join(other, "k", how))
 
 
-@pytest.mark.parametrize("how, expected", [("left", 4000), ("inner", 3000), ("left_anti", 1000)])
+@pytest.mark.parametrize("how, expected", [
+    ("left", 4000), ("inner", 3000), ("left_semi", 3000), ("left_anti", 1000)])
 def test_a_hot_key_is_spread_over_tasks(spark, how, expected):
     """Three quarters of the rows share one key, a few have none."""
     rows = spark.range(0, 4000, 1, 8).selectExpr(
         "IF(id % 4 < 3, 7, IF(id % 8 = 3, NULL, 1000 + id)) AS k", "id AS v")
     other = frame(spark, [(7, 70)], "k int, w int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+    def most(df):
+        return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
     try:
         joined = skew.lookup_join(rows, other, "k", how, hot_rows=100)
         assert joined.count() == expected
-        if how == "inner":
-            per_task = joined.groupBy(F.spark_partition_id()).count().collect()
-            assert len(per_task) > 2
-            assert max(r["count"] for r in per_task) < 2000
+        # Behind the exchange by which rows learn their salt, and behind that of the join.
+        hot = skew.hot_keys(skew.key_counts(rows, ["k"]), ["k"], 100)
+        assert most(skew.spread_rows(rows, hot, ["k"], how in ("left", "left_anti"))) < 1200
+        assert most(joined) < 1200
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 @few
