@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import (
-    decontam, neardup, ngram_lm, packing, pii, repeats, token_files, topk, toxicity, warc)
+    codes, decontam, neardup, ngram_lm, packing, pieces, pii, repeats, token_files, topk, toxicity,
+    turns, warc)
 from riskloom.llm.common import table
 
 
@@ -51,6 +52,69 @@ def op10_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op11_piece_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.piece_digest(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.vector_codes(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.damaged_and_repaired(
+        table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def _codes_sql(parts: int = 16, size: int = 64, rounds: int = 2) -> str:
+    """Codebooks and codes by all distances, one pair of tables for each round."""
+    steps = [f"""
+        kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS rn, vec_id, label, v
+            FROM (SELECT vec_id, label, list_transform(embedding,
+                         lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                  FROM embeddings
+                  WHERE embedding IS NOT NULL AND len(list_filter(
+                      embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+        ), pieces AS MATERIALIZED (
+            SELECT rn, p, list_slice(v, p * (len(v) // {parts}) + 1, (p + 1) * (len(v) // {parts}))
+                   AS x
+            FROM kept, range({parts}) t(p)
+        ), book0 AS MATERIALIZED (
+            SELECT p, rn - 1 AS e, x AS c FROM pieces WHERE rn <= {size}
+        )"""]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+            SELECT rn, p, any_value(x) AS x, min(ROW(gap, e)) AS best
+            FROM (SELECT s.rn, s.p, s.x, b.e, list_sum(list_transform(list_zip(s.x, b.c),
+                         lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS gap
+                  FROM pieces s JOIN book{r} b ON b.p = s.p)
+            GROUP BY rn, p
+        )""")
+        if r < rounds:
+            steps.append(f"""book{r + 1} AS MATERIALIZED (
+            SELECT b.p, b.e, coalesce(m.c, b.c) AS c
+            FROM book{r} b LEFT JOIN (
+                SELECT p, e, list((total - ((total % n) + n) % n) // n ORDER BY place) AS c
+                FROM (SELECT p, best[2] AS e, place, sum(x[place]) AS total, count(*) AS n
+                      FROM near{r}, (SELECT unnest(range(1, len(any_value(x)) + 1)) AS place
+                                     FROM pieces) GROUP BY ALL)
+                GROUP BY p, e) m ON m.p = b.p AND m.e = b.e
+        )""")
+    return f"""
+        WITH {", ".join(steps)}, coded AS (
+            SELECT rn, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code,
+                   CAST(sum(best[1]) AS BIGINT) AS error
+            FROM near{rounds} GROUP BY rn
+        ), digest AS (
+            SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS books
+            FROM book{rounds}
+        )
+        SELECT vec_id, code, error,
+               CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               books AS codebooks_sha256
+        FROM kept JOIN coded USING (rn), digest"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_personal_data": op2_personal_data,
@@ -62,6 +126,9 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_packing": op9_packing,
     "op10_ball_tree": op10_ball_tree,
+    "op11_piece_rounds": op11_piece_rounds,
+    "op12_ball_codes": op12_ball_codes,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -101,4 +168,5 @@ ORACLE_SQL: dict[str, str] = {
             FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op12_ball_codes": _codes_sql(),
 }

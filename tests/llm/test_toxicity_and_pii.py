@@ -19,7 +19,7 @@ def test_pairs_of_terms_count_together():
     rnd = np.random.default_rng(5)
     texts, toxic = [], []
     for _ in range(1500):
-        a, b = rnd.random(2) < .5
+        a, b = (rnd.random(2) < .5).tolist()
         texts.append(" ".join(["filler"] * 3 + ["insult"] * a + ["group"] * b))
         toxic.append(int(a and b))
     model = toxicity.fit([toxicity.terms_of(t) for t in texts], np.array(toxic))
