@@ -6,13 +6,14 @@ import datetime as dt
 import importlib
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
@@ -195,23 +196,102 @@ def _load_append_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(spark.read.parquet(f"{base}/target").drop(LOADED_AT))
 
 
-def _refresh_policy_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals written before the facts of the last year arrived, then brought up to date."""
-    now = star_schema.portfolio(spark, sf_dir)
-    recent = F.lit(dt.date(2001, 1, 1))
-    late_claims = now.claims.filter(F.col("claim_date") >= recent)
-    late_payments = now.payments.filter(F.col("payment_date") >= recent)
-    before = now.with_tables(
-        claims=now.claims.filter(F.col("claim_date") < recent),
-        payments=now.payments.filter(F.col("payment_date") < recent),
-    )
-    path = scratch_dir(spark, "refresh")
-    marts.policy_totals(before).write.parquet(f"{path}/totals")
-    # The keys are used several times over, so they are worked out once and written.
-    refresh.touched_policies(now, claims=late_claims, payments=late_payments).write.parquet(
-        f"{path}/touched")
-    totals, touched = (spark.read.parquet(f"{path}/{name}") for name in ("totals", "touched"))
-    return edge(refresh.refresh_policy_totals(totals, now, touched))
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a table that later steps read."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Refresh:
+    """The book before and after late claims and payments, and the policies they touch.
+
+    ``late`` tells by policy key and date which facts arrive late.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, late: Callable[[Column, Column], Column]):
+        self.path = scratch_dir(spark, "refresh")
+        self.now = star_schema.portfolio(spark, sf_dir)
+        claim, payment = (late(F.col("policy_id"), F.col(d)) for d in ("claim_date", "payment_date"))
+        self.arrivals = {"claims": self.now.claims.filter(claim),
+                         "payments": self.now.payments.filter(payment)}
+        self.before = self.now.with_tables(claims=self.now.claims.filter(~claim),
+                                           payments=self.now.payments.filter(~payment))
+        # The keys are used several times over, so they are worked out once and written.
+        self.touched = self.kept("touched", refresh.touched_policies(self.now, **self.arrivals))
+
+    def kept(self, name: str, df: DataFrame) -> DataFrame:
+        return written(df, f"{self.path}/{name}-{uuid.uuid4().hex}")
+
+    def parts(self) -> tuple[Portfolio, Portfolio]:
+        return tuple(refresh.part_of(book, self.touched) for book in (self.before, self.now))
+
+    def images(self) -> DataFrame:
+        return self.kept("images", refresh.changed_images(*self.parts()))
+
+    # Each gives a function that only does what follows an arrival.
+
+    def policy_totals(self) -> Callable[[], DataFrame]:
+        totals = self.kept("totals", marts.policy_totals(self.before))
+        return lambda: refresh.refresh_policy_totals(totals, self.now, self.touched)
+
+    def customer_risk(self) -> Callable[[], DataFrame]:
+        state = self.kept("customers", refresh.customer_state_of(self.before))
+        return lambda: refresh.customer_risk_of(
+            self.now, refresh.refresh_customers(state, self.images()))
+
+    def monitor(self) -> Callable[[], DataFrame]:
+        state = self.kept("months", refresh.month_state_of(self.before))
+        previous = self.kept("monitor", refresh.monitor_rows(state))
+
+        def step() -> DataFrame:
+            images = self.images()
+            after = self.kept("months", refresh.refresh_months(state, images))
+            return marts.finish_monitor(refresh.refresh_monitor(previous, after, images))
+
+        return step
+
+    def trend(self) -> Callable[[], DataFrame]:
+        state = self.kept("cells", refresh.trend_state_of(self.before))
+        previous = self.kept("trend", marts.payment_claims_trend(self.before))
+
+        def step() -> DataFrame:
+            change = self.kept("change", refresh.trend_change(*self.parts()))
+            after = self.kept("cells", refresh.refresh_cells(state, change))
+            return refresh.refresh_trend(previous, after, change, self.now)
+
+        return step
+
+    def held_book(self) -> Callable[[], DataFrame]:
+        """Customer risk from tables of which only the touched buckets are read."""
+        spark = self.touched.sparkSession
+        held = refresh.HeldBook.create(spark, f"{self.path}/held", self.before)
+        state = self.kept("customers", refresh.customer_state_of(self.before))
+
+        def step() -> DataFrame:
+            touched = self.kept("touched", held.touched_by(self.arrivals))
+            old = held.part(touched)
+            held.add(self.arrivals)
+            images = self.kept("images", refresh.changed_images(old, held.part(touched)))
+            return refresh.customer_risk_of(self.now, refresh.refresh_customers(state, images))
+
+        return step
+
+
+def _since_2001(policy: Column, day: Column) -> Column:
+    return day >= F.lit(dt.date(2001, 1, 1))
+
+
+def one_percent(policy: Column, day: Column) -> Column:
+    """The facts of every hundredth policy."""
+    return policy % 100 == 7
+
+
+def _refreshed(mart: str) -> Query:
+    """A mart written before the facts of the last year arrived, then brought up to date."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return edge(getattr(Refresh(spark, sf_dir, _since_2001), mart)()())
+
+    return run
 
 
 def _sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,7 +415,11 @@ def portfolio_queries() -> dict[str, Query]:
         "dq_payment_after_cancellation": _on(findings.payments_after_cancellation),
         # Marts.
         "policy_totals": _on(marts.policy_totals),
-        "refresh_policy_totals": _refresh_policy_totals,
+        "refresh_policy_totals": _refreshed("policy_totals"),
+        "refresh_customer_risk": _refreshed("customer_risk"),
+        "refresh_monitor": _refreshed("monitor"),
+        "refresh_trend": _refreshed("trend"),
+        "refresh_held_book": _refreshed("held_book"),
         "prorated_premium": _on(marts.prorated_premium),
         "div0": _on(_div0),
         "loss_ratio_by_type": _on(marts.loss_ratio_by_type),

@@ -65,6 +65,24 @@ PROFITABILITY = [
 ]
 
 
+CUSTOMER = ["customer_id", "customer_name", "state", "industry"]
+# Sums of the customer and month marts and the columns of the policy totals they add up.
+CUSTOMER_MONEY = {
+    "total_premium": "premium",
+    "total_payments_collected": "payment_total",
+    "total_endorsements": "endorsement_total",
+    "total_closed_claims": "closed_claim_total",
+    "total_open_claims": "op_claim_total",
+}
+MONTH_MONEY = {
+    "premium": "premium",
+    "collected_premium": "payment_total",
+    "endorsement_total": "endorsement_total",
+    "closed_claims": "closed_claim_total",
+    "open_claims": "op_claim_total",
+}
+
+
 def _or_zero(value: Column) -> Column:
     return F.coalesce(value, F.lit(0))
 
@@ -173,7 +191,7 @@ def _payment_rows(book: Portfolio) -> DataFrame:
     )
 
 
-def _policy_months(rows: DataFrame, measures: Mapping[str, str]) -> DataFrame:
+def policy_months(rows: DataFrame, measures: Mapping[str, str]) -> DataFrame:
     """Sums per policy and month.
 
     They leave a policy with at most one row per month, so a policy holding much
@@ -193,7 +211,7 @@ def _segment_months(policies: DataFrame, sums: DataFrame, measures: Mapping[str,
 
 def _monthly(book: Portfolio, rows: DataFrame, measures: Mapping[str, str],
              month: str) -> DataFrame:
-    sums = _policy_months(rows, measures)
+    sums = policy_months(rows, measures)
     return (
         _segment_months(book.insured_policies(), sums, measures, "inner")
         .withColumnRenamed("month_start", month)
@@ -221,31 +239,42 @@ def calendar_spine(book: Portfolio) -> DataFrame:
     return spine(policy_segments(book), book.start, book.today)
 
 
-def payment_claims_trend(book: Portfolio) -> DataFrame:
-    """Dense month x segment series of claims and payments with running totals.
+TREND_MEASURES = {**CLAIM_MEASURES, **PAYMENT_MEASURES}
+TREND_TOTALS = {"rolling_claim_total": "claim_total", "rolling_payment_total": "payment_total"}
 
-    Policies without facts stay in the join, so that every segment is there.
-    Facts of a segment with a NULL belong to no series.
-    """
-    measures = {**CLAIM_MEASURES, **PAYMENT_MEASURES}
-    activity = _claim_rows(book).unionByName(_payment_rows(book), allowMissingColumns=True)
-    in_calendar = activity.filter(F.col("month_start").between(book.start, book.today))
-    sums = _segment_months(book.insured_policies(), _policy_months(in_calendar, measures),
-                           measures, "left")
+
+def activity(book: Portfolio) -> DataFrame:
+    """Claims and payments as rows of one shape, by policy and month."""
+    return _claim_rows(book).unionByName(_payment_rows(book), allowMissingColumns=True)
+
+
+def complete_segment() -> Column:
+    """Facts of a segment with a NULL belong to no series."""
     complete = F.lit(True)
     for key in SEGMENT:
         complete = complete & F.col(key).isNotNull()
-    series = sums.withColumn("month_start", F.when(complete, F.col("month_start")))
-    dense = densify(series, SEGMENT, "month_start", list(measures),
-                    calendar(book.start, book.today))
-    rolled = running_totals(dense, SEGMENT, "month_start", {
-        "rolling_claim_total": "claim_total",
-        "rolling_payment_total": "payment_total",
-    })
+    return complete
+
+
+def finish_trend(rolled: DataFrame) -> DataFrame:
     order = [F.col(c).asc_nulls_last() for c in [*SEGMENT, "month_start"]]
     return rolled.select(*TREND).orderBy(*order)
 
 
+def payment_claims_trend(book: Portfolio) -> DataFrame:
+    """Dense month x segment series of claims and payments with running totals.
+
+    Policies without facts stay in the join, so that every segment is there.
+    """
+    in_calendar = activity(book).filter(F.col("month_start").between(book.start, book.today))
+    sums = _segment_months(book.insured_policies(), policy_months(in_calendar, TREND_MEASURES),
+                           TREND_MEASURES, "left")
+    series = sums.withColumn("month_start", F.when(complete_segment(), F.col("month_start")))
+    dense = densify(series, SEGMENT, "month_start", list(TREND_MEASURES),
+                    calendar(book.start, book.today))
+    return finish_trend(running_totals(dense, SEGMENT, "month_start", TREND_TOTALS))
+
+
 # -- customer risk -------------------------------------------------------------
 
 def customer_rollup(book: Portfolio) -> DataFrame:
@@ -255,20 +284,17 @@ def customer_rollup(book: Portfolio) -> DataFrame:
     policies; a distinct aggregation would shuffle them a second time.
     """
     active = active_on(book.today, F.col("effective_date"), F.col("expiration_date"))
-    money = {
-        "total_premium": "premium",
-        "total_payments_collected": "payment_total",
-        "total_endorsements": "endorsement_total",
-        "total_closed_claims": "closed_claim_total",
-        "total_open_claims": "op_claim_total",
-    }
-    keys = ["customer_id", "customer_name", "state", "industry"]
-    sums = policy_totals(book).groupBy(*keys).agg(
+    sums = policy_totals(book).groupBy(*CUSTOMER).agg(
         F.count("policy_id").alias("total_policy_count"),
         F.count(F.when(active, F.col("policy_id"))).alias("active_policy_count"),
         total(F.col("prorated_premium"), EARNED_TOTAL).alias("total_prorated_premium"),
-        *[total(F.col(c), MONEY_TOTAL).alias(name) for name, c in money.items()],
+        *[total(F.col(c), MONEY_TOTAL).alias(name) for name, c in CUSTOMER_MONEY.items()],
     )
+    return finish_rollup(sums)
+
+
+def finish_rollup(sums: DataFrame) -> DataFrame:
+    """The customer's figures that follow from counts and sums."""
     endorsed = _or_zero(F.col("total_endorsements"))
     claimed = (_or_zero(F.col("total_closed_claims")) + _or_zero(F.col("total_open_claims"))
                ).cast(MONEY_TOTAL)
@@ -286,13 +312,15 @@ def _flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def customer_risk(book: Portfolio, frequency: str = "amount") -> DataFrame:
+def customer_risk(book: Portfolio, frequency: str = "amount",
+                  rollup: DataFrame | None = None) -> DataFrame:
     """Ratios, four 0/1 flags, score and tier of every customer.
 
     ``frequency="amount"`` flags customers by claimed amount per policy, which is
     how the mart is defined; ``"count"`` uses the number of claims per policy.
+    ``rollup`` may hand in the customers' sums.
     """
-    rollup = customer_rollup(book)
+    rollup = customer_rollup(book) if rollup is None else rollup
     per_policy = ratio(F.col("total_claims"), null_if_zero(F.col("total_policy_count")))
     if frequency == "count":
         claims = _claims_per_customer(book)
@@ -362,20 +390,17 @@ def tier_distribution(book: Portfolio) -> DataFrame:
 
 def profitability_monthly(book: Portfolio) -> DataFrame:
     """Totals per effective month and policy type."""
-    money = {
-        "premium": "premium",
-        "collected_premium": "payment_total",
-        "endorsement_total": "endorsement_total",
-        "closed_claims": "closed_claim_total",
-        "open_claims": "op_claim_total",
-    }
     # The month is named first: a summed column shares its name with a source one.
     totals = policy_totals(book).withColumn("effective_month", month_start(F.col("effective_date")))
-    sums = totals.groupBy("effective_month", "policy_type").agg(
+    return finish_months(totals.groupBy("effective_month", "policy_type").agg(
         F.count("policy_id").alias("policy_count"),
         total(F.col("prorated_premium"), EARNED_TOTAL).alias("prorated_premium"),
-        *[total(F.col(c), MONEY_TOTAL).alias(name) for name, c in money.items()],
-    )
+        *[total(F.col(c), MONEY_TOTAL).alias(name) for name, c in MONTH_MONEY.items()],
+    ))
+
+
+def finish_months(sums: DataFrame) -> DataFrame:
+    """The month's figures that follow from counts and sums."""
     claimed = (_or_zero(F.col("closed_claims")) + _or_zero(F.col("open_claims"))).cast(MONEY_TOTAL)
     adjusted = F.col("prorated_premium") + _or_zero(F.col("endorsement_total"))
     return sums.withColumns({
@@ -386,17 +411,26 @@ def profitability_monthly(book: Portfolio) -> DataFrame:
     }).select(*PROFITABILITY[:12])
 
 
-def _monitor(monthly: DataFrame) -> DataFrame:
-    window = running(["policy_type"], "effective_month")
-    rolled = running_totals(monthly, ["policy_type"], "effective_month", {
-        "rolling_underwriting_profit": "underwriting_profit",
-        "rolling_total_claims": "total_claims",
-        "rolling_collected_premium": "collected_premium",
-    }).withColumn("_rolling_adjusted", F.sum("adjusted_premium").over(window))
+# Running sums of the monitor; the adjusted premium's is only needed for the ratio.
+MONITOR_TOTALS = {
+    "rolling_underwriting_profit": "underwriting_profit",
+    "rolling_total_claims": "total_claims",
+    "rolling_collected_premium": "collected_premium",
+    "rolling_adjusted_premium": "adjusted_premium",
+}
+
+
+def rolled_months(monthly: DataFrame) -> DataFrame:
+    """Monthly totals with their running sums per policy type."""
+    return running_totals(monthly, ["policy_type"], "effective_month", MONITOR_TOTALS)
+
+
+def finish_monitor(rolled: DataFrame) -> DataFrame:
+    """Ratios and status of months with running sums, in the mart's order."""
     rated = rolled.withColumns({
         "loss_ratio": ratio(F.col("total_claims"), F.col("adjusted_premium")),
         "rolling_loss_ratio": ratio(F.col("rolling_total_claims"),
-                                    null_if_zero(F.col("_rolling_adjusted"))),
+                                    null_if_zero(F.col("rolling_adjusted_premium"))),
     })
     status = (
         F.when(exceeds(F.col("total_claims"), F.col("adjusted_premium"), UNPROFITABLE_ABOVE),
@@ -408,6 +442,10 @@ def _monitor(monthly: DataFrame) -> DataFrame:
         F.col("policy_type").asc_nulls_last(), F.col("effective_month").asc_nulls_last())
 
 
+def _monitor(monthly: DataFrame) -> DataFrame:
+    return finish_monitor(rolled_months(monthly))
+
+
 def profitability_monitor(book: Portfolio) -> DataFrame:
     """Monthly and cumulative profit, loss ratios and status per policy type."""
     return _monitor(profitability_monthly(book))
