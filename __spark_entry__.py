@@ -21,14 +21,14 @@ import oracle_queries  # noqa: E402
 from riskloom.functions import null_if_zero, ratio  # noqa: E402
 from riskloom.operators.changes import snapshot_diff  # noqa: E402
 from riskloom.plans import checks, findings, marts, refresh, views  # noqa: E402
-from riskloom.plans.pipeline import staged_with_totals  # noqa: E402
+from riskloom.plans.pipeline import observed_build, staged_with_totals  # noqa: E402
 from riskloom.plans.portfolio import Portfolio  # noqa: E402
 from riskloom.schemas import LOADED_AT  # noqa: E402
 from riskloom.session import scratch_dir  # noqa: E402
 from riskloom.sources import files, loads, star_schema  # noqa: E402
 from riskloom.sources.loads import merge_upsert, truncate_insert  # noqa: E402
 from riskloom.sources.tables import VersionedTable  # noqa: E402
-from riskloom.streaming.loads import append_only, landing_stream, stream_upsert  # noqa: E402
+from riskloom.streaming.loads import append_dedup, append_only, landing_stream, stream_upsert  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -286,6 +286,56 @@ def one_percent(policy: Column, day: Column) -> Column:
     return policy % 100 == 7
 
 
+def _load_append_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments in three deliveries that repeat rows, their own and those of earlier ones."""
+    base = scratch_dir(spark, "dedup")
+    payments = star_schema.payments(spark, sf_dir).drop(LOADED_AT)
+    year = F.year("payment_date")
+    deliveries = (
+        payments.filter(year < 1998).unionByName(payments.filter((year < 1998) & (F.col("payment_id") % 5 == 0))),
+        payments.filter(year.between(1997, 1999)),
+        payments.filter(year != 1998),
+    )
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(f"{base}/landing")
+        rows = landing_stream(spark, f"{base}/landing", "payments")
+        append_dedup(rows, f"{base}/target", f"{base}/checkpoint", payments.columns).awaitTermination()
+    return edge(spark.read.parquet(f"{base}/target").drop(LOADED_AT))
+
+
+def _on_staged(plan: Callable[[Portfolio], DataFrame], **layout) -> Query:
+    """Run a mart over clean views laid out for it."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        book = star_schema.portfolio(spark, sf_dir)
+        return edge(plan(book.staged(spark, scratch_dir(spark, "staged"), **layout)))
+
+    return run
+
+
+def _reconcile_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = star_schema.portfolio(spark, sf_dir)
+    _, metrics = observed_build(spark, book, scratch_dir(spark, "observed"))
+    return edge(checks.reconcile_observed(spark, metrics))
+
+
+def _reconcile_fingerprints(doctored: bool) -> Query:
+    """Marts against facts; doctored, two policies have errors that cancel each other."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        book = staged_with_totals(spark, star_schema.portfolio(spark, sf_dir),
+                                  scratch_dir(spark, "prints"))
+        totals = marts.policy_totals(book)
+        if doctored:
+            ends = totals.filter("op_claim_total IS NOT NULL").agg(
+                F.min("policy_id").alias("first"), F.max("policy_id").alias("last")).first()
+            error = F.when(F.col("policy_id") == ends["first"], 1).when(
+                F.col("policy_id") == ends["last"], -1).otherwise(0)
+            totals = totals.withColumn("op_claim_total", (F.col("op_claim_total") + error)
+                                       .cast(totals.schema["op_claim_total"].dataType))
+        return edge(checks.reconcile_fingerprints(spark, book, totals))
+
+    return run
+
+
 def _refreshed(mart: str) -> Query:
     """A mart written before the facts of the last year arrived, then brought up to date."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,6 +435,7 @@ def portfolio_queries() -> dict[str, Query]:
         "load_truncate_insert": _load_truncate_insert,
         "load_delivery": _load_delivery,
         "load_append_only": _load_append_only,
+        "load_append_dedup": _load_append_dedup,
         "load_merge_upsert": _load_merge_upsert,
         "load_stream_upsert": _load_stream_upsert,
         "snapshot_diff": _snapshot_diff,
@@ -420,6 +471,12 @@ def portfolio_queries() -> dict[str, Query]:
         "refresh_monitor": _refreshed("monitor"),
         "refresh_trend": _refreshed("trend"),
         "refresh_held_book": _refreshed("held_book"),
+        "policy_totals_staged": _on_staged(marts.policy_totals, buckets=8),
+        "monthly_claims_staged": _on_staged(marts.monthly_claims, buckets=8),
+        "payment_claims_trend_staged": _on_staged(marts.payment_claims_trend, buckets=4,
+                                                  by_month=True),
+        "distinct_policies": _on(marts.distinct_policies),
+        "threshold_calibration": _on(marts.threshold_calibration),
         "prorated_premium": _on(marts.prorated_premium),
         "div0": _on(_div0),
         "loss_ratio_by_type": _on(marts.loss_ratio_by_type),
@@ -438,6 +495,9 @@ def portfolio_queries() -> dict[str, Query]:
         "accident_year_loss_ratio": _on(marts.accident_year_loss_ratio),
         # Checks.
         "reconcile_totals": _on_written(checks.reconcile_totals),
+        "reconcile_observed": _reconcile_observed,
+        "reconcile_fingerprints": _reconcile_fingerprints(doctored=False),
+        "reconcile_fingerprints_doctored": _reconcile_fingerprints(doctored=True),
         "reconcile_trend": _on_written(checks.reconcile_trend, LAST_FACT_MONTH),
         "check_negative_loss_ratio": _on(checks.negative_loss_ratio),
         "check_date_coverage": _on_written(checks.date_coverage),

@@ -8,17 +8,40 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators.fingerprints import row_hashes
 from riskloom.operators.skew import key_counts, lookup_join
 from riskloom.schemas import LOADED_AT
 
 INSERT = "INSERT"
 DELETE = "DELETE"
+# What a row of the new snapshot adds to the count of rows; old ones add 1.
+_NEW = 1 << 32
 
 
 def _at_most(copies: Column, message: str) -> Column:
     return F.when(copies <= 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
+def changed_keys(old: DataFrame, new: DataFrame, key: str, compare: Sequence[str]) -> DataFrame:
+    """``key, _was, _now`` of rows that differ: in which snapshots the key is.
+
+    Only the key and 128 bits of hash travel, XORed over both sides: they cancel where the
+    compared columns are equal. A repeated key fails the query.
+    """
+    one, two = row_hashes(list(compare))
+    # One number tells how many rows either side has.
+    sides = old.select(key, one.alias("_one"), two.alias("_two"),
+                       F.lit(1).cast("bigint").alias("_rows")).unionByName(
+        new.select(key, one.alias("_one"), two.alias("_two"),
+                   F.lit(_NEW).cast("bigint").alias("_rows")))
+    met = sides.groupBy(key).agg(F.bit_xor("_one").alias("_one"), F.bit_xor("_two").alias("_two"),
+                                 F.sum("_rows").alias("_rows"))
+    was, now = F.col("_rows") % _NEW, F.floor(F.col("_rows") / _NEW)
+    once = met.filter(_at_most(F.greatest(was, now), f"{key} is not unique in a snapshot"))
+    differs = (F.col("_rows") != _NEW + 1) | (F.col("_one") != 0) | (F.col("_two") != 0)
+    return once.filter(differs).select(key, (was == 1).alias("_was"), (now == 1).alias("_now"))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str,
                   compare: Sequence[str] | None = None) -> DataFrame:
     """Row images that turn ``old`` into ``new``, with ``_action`` and ``_is_update``.
@@ -26,39 +49,20 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str,
     An update is a DELETE of the old image and an INSERT of the new one, both
     marked ``_is_update``. ``compare`` limits which columns make a change (NULL
     equals NULL). ``key`` must be unique within each snapshot; a repeated key
-    fails the query. Both snapshots meet in one aggregation, so a repeated key
-    is noticed rather than multiplied.
+    fails the query. Snapshots meet as keys and hashes, see :func:`changed_keys`;
+    only for keys that changed are the images fetched. Images are equal when 128 bits
+    of hash are.
     """
     columns = new.columns
     compare = [c for c in columns if c != key] if compare is None else list(compare)
-    image = F.struct(*columns)
-    sides = old.select(*columns, F.lit(0).alias("_side")).unionByName(
-        new.select(*columns, F.lit(1).alias("_side"))
-    )
-    was, now = F.col("_side") == 0, F.col("_side") == 1
-    paired = sides.groupBy(key).agg(
-        F.max(F.when(was, image)).alias("was"),
-        F.max(F.when(now, image)).alias("now"),
-        F.count_if(was).alias("_was_rows"),
-        F.count_if(now).alias("_now_rows"),
-    ).filter(_at_most(F.greatest("_was_rows", "_now_rows"), f"{key} is not unique in a snapshot"))
-
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(f"was.{c}").eqNullSafe(F.col(f"now.{c}")) for c in compare],
-        F.lit(True),
-    )
-    exists_was, exists_now = F.col("was").isNotNull(), F.col("now").isNotNull()
-    updated = exists_was & exists_now
-    changed = ~(updated & same)
-    images = F.array(
-        F.when(exists_was & changed, F.struct(
-            F.lit(DELETE).alias("_action"), updated.alias("_is_update"), F.col("was").alias("row"))),
-        F.when(exists_now & changed, F.struct(
-            F.lit(INSERT).alias("_action"), updated.alias("_is_update"), F.col("now").alias("row"))),
-    )
-    exploded = paired.select(F.explode(F.array_compact(images)).alias("c"))
-    return exploded.select("c._action", "c._is_update", "c.row.*")
+    changed = changed_keys(old, new, key, compare).withColumnRenamed(key, "_key")
+    updated = F.col("_was") & F.col("_now")
+
+    def images(side: DataFrame, there: str, action: str) -> DataFrame:
+        met = side.join(changed.filter(there), F.col(key).eqNullSafe(F.col("_key")))
+        return met.select(F.lit(action).alias("_action"), updated.alias("_is_update"), *columns)
+
+    return images(old, "_was", DELETE).unionByName(images(new, "_now", INSERT))
 
 
 def inserted(changes: DataFrame) -> DataFrame:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import exceeds, prorate, ratio
+from riskloom.operators.fingerprints import compare_parts, differing_keys
+from riskloom.operators.observe import LoadMetrics
 from riskloom.operators.reconcile import figures, reconcile
 from riskloom.plans import marts
 from riskloom.plans.portfolio import Portfolio
+from riskloom.schemas import MONEY_TOTAL
 
 TOLERANCE = 0.01
 
@@ -61,6 +64,96 @@ def reconcile_totals(book: Portfolio) -> DataFrame:
     ])
 
 
+# What each written table is observed for, and the pairs of figures that have to agree.
+def load_measures(book: Portfolio) -> dict[str, dict[str, Column]]:
+    """Sums taken of each table of a build as it is written."""
+    earned = prorate(F.col("premium"), F.col("effective_date"), F.col("expiration_date"), book.today)
+    return {
+        "policies": {"premium": F.sum("premium"), "earned": F.sum(earned)},
+        "claims": {"amount": F.sum("claim_amount")},
+        "payments": {"amount": F.sum("payment_amount")},
+        "endorsements": {"amount": F.sum("endorsement_amount")},
+        "policy_totals": {
+            "claims": (F.coalesce(F.sum("closed_claim_total"), F.lit(0))
+                       + F.coalesce(F.sum("op_claim_total"), F.lit(0))),
+            "payments": F.sum("payment_total"), "endorsements": F.sum("endorsement_total"),
+            "premium": F.sum("premium"), "earned": F.sum("prorated_premium")},
+        "customer_rollup": {"claims": F.sum("total_claims"),
+                            "payments": F.sum("total_payments_collected")},
+        "profitability": {"premium": F.sum("premium"), "claims": F.sum("total_claims")},
+    }
+
+
+OBSERVED_PAIRS = {
+    "policy_totals.claims": (("policy_totals", "claims"), ("claims", "amount")),
+    "policy_totals.payments": (("policy_totals", "payments"), ("payments", "amount")),
+    "policy_totals.endorsements": (("policy_totals", "endorsements"), ("endorsements", "amount")),
+    "policy_totals.premium": (("policy_totals", "premium"), ("policies", "premium")),
+    "policy_totals.prorated_premium": (("policy_totals", "earned"), ("policies", "earned")),
+    "customer_risk.claims": (("customer_rollup", "claims"), ("claims", "amount")),
+    "customer_risk.payments": (("customer_rollup", "payments"), ("payments", "amount")),
+    "profitability.premium": (("profitability", "premium"), ("policies", "premium")),
+    "profitability.claims": (("profitability", "claims"), ("claims", "amount")),
+}
+
+
+def reconcile_observed(spark: SparkSession, metrics: LoadMetrics,
+                       tolerance: float = 0.0) -> DataFrame:
+    """The figures of :func:`reconcile_totals` from what was observed while writing.
+
+    Nothing is read: the figures lie with the driver, or beside the tables.
+    """
+    rows = []
+    for name, (left, right) in OBSERVED_PAIRS.items():
+        one, two = metrics.value(*left), metrics.value(*right)
+        rows.append((name, one, two, one - two, abs(one - two) <= tolerance))
+    return spark.createDataFrame(
+        rows, "check_name string, left_value decimal(36,8), right_value decimal(36,8), "
+              "difference decimal(36,8), passed boolean")
+
+
+def reconcile_fingerprints(spark: SparkSession, book: Portfolio,
+                           totals: DataFrame | None = None) -> DataFrame:
+    """Marts against sums of the clean facts, key by key.
+
+    Gives ``check_name, left_rows, right_rows, differing_keys, passed``. Errors that cancel
+    each other in a total are found; only parts of the key space that differ are looked at
+    closely.
+    """
+    totals = marts.policy_totals(book) if totals is None else totals
+    status, amount = F.col("claim_status"), F.col("claim_amount")
+    closed = F.sum(F.when(status == marts.CLOSED, amount)).cast(MONEY_TOTAL)
+    unresolved = F.sum(F.when(status.isin(*marts.UNRESOLVED), amount)).cast(MONEY_TOTAL)
+    claims = book.clean_claims().groupBy("policy_id").agg(
+        closed.alias("closed_claim_total"), unresolved.alias("op_claim_total"))
+    claimed = "closed_claim_total IS NOT NULL OR op_claim_total IS NOT NULL"
+    payments = book.clean_payments().groupBy("policy_id").agg(
+        F.sum("payment_amount").cast(MONEY_TOTAL).alias("payment_total"))
+    owners = book.insured_policies().select("policy_id", "customer_id")
+    per_customer = claims.filter(claimed).join(owners, "policy_id").groupBy("customer_id").agg(
+        F.sum(F.coalesce("closed_claim_total", F.lit(0)) + F.coalesce("op_claim_total", F.lit(0)))
+        .cast(MONEY_TOTAL).alias("total_claims"))
+    rollup = marts.customer_rollup(book).filter(
+        "total_closed_claims IS NOT NULL OR total_open_claims IS NOT NULL")
+    pairs = {
+        "policy_totals.claims": (totals.filter(claimed), claims.filter(claimed), "policy_id",
+                                 ["closed_claim_total", "op_claim_total"]),
+        "policy_totals.payments": (totals.filter("payment_total IS NOT NULL"), payments,
+                                   "policy_id", ["payment_total"]),
+        "customer_risk.claims": (rollup, per_customer, "customer_id", ["total_claims"]),
+    }
+    rows = []
+    for name, (left, right, key, columns) in pairs.items():
+        # At most as many rows as there are parts of the key space.
+        parts = compare_parts(left, right, key, columns).collect()
+        wrong = [p.part for p in parts if not p.passed]
+        keys = differing_keys(left, right, key, columns, wrong).count() if wrong else 0
+        rows.append((name, sum(p.left_rows for p in parts), sum(p.right_rows for p in parts),
+                     keys, not wrong))
+    return spark.createDataFrame(rows, "check_name string, left_rows bigint, right_rows bigint, "
+                                       "differing_keys bigint, passed boolean")
+
+
 def reconcile_trend(book: Portfolio) -> DataFrame:
     """Sums of the trend against the clean facts.
 

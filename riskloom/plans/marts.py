@@ -19,8 +19,10 @@ from riskloom.functions import (
     ratio,
     total,
 )
+from riskloom.operators.bitmaps import distinct_counts, distinct_state, merge_distinct
+from riskloom.operators.quantiles import merge_quantiles, quantile_state, quantiles
 from riskloom.operators.spine import calendar, densify, running, running_totals, spine
-from riskloom.plans.portfolio import Portfolio
+from riskloom.plans.portfolio import FACT_MONTH, Portfolio
 from riskloom.schemas import EARNED, EARNED_TOTAL, MONEY, MONEY_TOTAL
 
 # Claim states, thresholds and labels of the marts.
@@ -97,32 +99,53 @@ def _measures(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column],
 
 # -- policy totals -----------------------------------------------------------
 
-def policy_facts(book: Portfolio) -> DataFrame:
-    """Claims, payments and endorsements of each policy, in one aggregation.
+FACT_TOTALS = ["closed_claim_total", "op_claim_total", "payment_total", "endorsement_total"]
 
-    All three fact tables are stacked and summed together, so they cost one
-    shuffle of partial sums. A policy without a kind of fact has NULL there.
-    """
-    names = ["closed_claim_total", "op_claim_total", "payment_total", "endorsement_total"]
+
+def _fact_measures(book: Portfolio) -> list[tuple[DataFrame, dict[str, Column]]]:
+    """Each fact table with the totals that its rows add to."""
     status, amount = F.col("claim_status"), F.col("claim_amount")
-    key = ["policy_id"]
     claims = book.sound_claims(
         "policy_id",
         F.when(status == CLOSED, amount).alias("closed_claim_total"),
         F.when(status.isin(*UNRESOLVED), amount).alias("op_claim_total"),
     )
-    parts = [
-        _measures(claims, key, {n: F.col(n) for n in names[:2]}, names),
-        _measures(book.sound_payments(), key, {"payment_total": F.col("payment_amount")}, names),
-        _measures(book.clean_endorsements(), key,
-                  {"endorsement_total": F.col("endorsement_amount")}, names),
+    return [
+        (claims, {n: F.col(n) for n in FACT_TOTALS[:2]}),
+        (book.sound_payments(), {"payment_total": F.col("payment_amount")}),
+        (book.clean_endorsements(), {"endorsement_total": F.col("endorsement_amount")}),
     ]
-    stacked = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return (
-        stacked.filter(F.col("policy_id").isNotNull())
-        .groupBy("policy_id")
-        .agg(*[total(F.col(n), MONEY_TOTAL).alias(n) for n in names])
-    )
+
+
+def _per_policy(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    return rows.filter(F.col("policy_id").isNotNull()).groupBy("policy_id").agg(
+        *[total(F.col(n), MONEY_TOTAL).alias(n) for n in names])
+
+
+def policy_facts(book: Portfolio) -> DataFrame:
+    """Claims, payments and endorsements of each policy, in one aggregation.
+
+    All three fact tables are stacked and summed together, so they cost one
+    shuffle of partial sums. A policy without a kind of fact has NULL there.
+    """
+    parts = [_measures(rows, ["policy_id"], values, FACT_TOTALS)
+             for rows, values in _fact_measures(book)]
+    return _per_policy(parts[0].unionByName(parts[1]).unionByName(parts[2]), FACT_TOTALS)
+
+
+def _with_facts(book: Portfolio) -> DataFrame:
+    """Clean policies with their fact totals.
+
+    Tables in buckets are summed and joined one by one where they lie: stacking would give
+    up their layout.
+    """
+    policies = book.insured_policies()
+    if not book.buckets:
+        return policies.join(policy_facts(book), "policy_id", "left")
+    for rows, values in _fact_measures(book):
+        sums = _per_policy(_measures(rows, ["policy_id"], values, list(values)), list(values))
+        policies = policies.join(sums, "policy_id", "left")
+    return policies
 
 
 def policy_totals(book: Portfolio, clamp: bool = False) -> DataFrame:
@@ -133,11 +156,9 @@ def policy_totals(book: Portfolio, clamp: bool = False) -> DataFrame:
     """
     if "policy_totals" in book.written and not clamp:
         return book.written["policy_totals"]
-    policies = book.insured_policies()
     earned = prorate(F.col("premium"), F.col("effective_date"), F.col("expiration_date"),
                      book.today, clamp)
-    joined = policies.join(policy_facts(book), "policy_id", "left")
-    return joined.withColumn("prorated_premium", earned).select(*POLICY_TOTALS)
+    return _with_facts(book).withColumn("prorated_premium", earned).select(*POLICY_TOTALS)
 
 
 def prorated_premium(book: Portfolio, clamp: bool = False) -> DataFrame:
@@ -175,17 +196,17 @@ def _claim_rows(book: Portfolio) -> DataFrame:
     status, amount = F.col("claim_status"), F.col("claim_amount")
     return book.sound_claims(
         "policy_id",
-        month_start(F.col("claim_date")).alias("month_start"),
+        book.month_of("claims").alias("month_start"),
         amount.alias("claim_total"),
         F.when(status == CLOSED, amount).otherwise(0).alias("closed_claim_total"),
         F.when(status.isin(*UNRESOLVED), amount).otherwise(0).alias("open_claim_total"),
     ).withColumn("claim_count", F.lit(1)).drop("claim_id")
 
 
-def _payment_rows(book: Portfolio) -> DataFrame:
-    return book.sound_payments().select(
+def _payment_rows(book: Portfolio, payments: DataFrame | None = None) -> DataFrame:
+    return (book.sound_payments() if payments is None else payments).select(
         "policy_id",
-        month_start(F.col("payment_date")).alias("month_start"),
+        book.month_of("payments").alias("month_start"),
         F.when(F.col("payment_id").isNotNull(), 1).otherwise(0).alias("payment_count"),
         F.col("payment_amount").alias("payment_total"),
     )
@@ -205,6 +226,10 @@ def _segment_months(policies: DataFrame, sums: DataFrame, measures: Mapping[str,
                     how: str) -> DataFrame:
     """Policy-month sums added up per month and segment of their clean policy."""
     joined = policies.select("policy_id", *SEGMENT).join(sums, "policy_id", how)
+    return _per_segment(joined, measures)
+
+
+def _per_segment(joined: DataFrame, measures: Mapping[str, str]) -> DataFrame:
     return joined.groupBy("month_start", *SEGMENT).agg(
         *[F.sum(m).cast(dtype).alias(m) for m, dtype in measures.items()])
 
@@ -248,6 +273,31 @@ def activity(book: Portfolio) -> DataFrame:
     return _claim_rows(book).unionByName(_payment_rows(book), allowMissingColumns=True)
 
 
+def _in_calendar(book: Portfolio) -> tuple[DataFrame, DataFrame]:
+    """Claims and payments of the calendar alone: by the stored month where facts are laid out
+    by it, and payments by their date, so that the scan can leave others out."""
+    inside = F.col("month_start").between(book.start, F.trunc(book.today, "month"))
+    paid = book.sound_payments()
+    if FACT_MONTH not in paid.columns:
+        after = F.add_months(F.trunc(book.today, "month"), 1)
+        paid = paid.filter((F.col("payment_date") >= book.start) & (F.col("payment_date") < after))
+    return _claim_rows(book).filter(inside), _payment_rows(book, paid).filter(inside)
+
+
+def _trend_cells(book: Portfolio) -> DataFrame:
+    """Month sums of every segment that has policies, those without facts with a NULL month."""
+    claims, payments = _in_calendar(book)
+    policies = book.insured_policies()
+    if not book.buckets:
+        rows = claims.unionByName(payments, allowMissingColumns=True)
+        return _segment_months(policies, policy_months(rows, TREND_MEASURES), TREND_MEASURES, "left")
+    # Tables in buckets meet their policies one by one where they lie.
+    named = policies.select("policy_id", *SEGMENT)
+    claimed = named.join(policy_months(claims, CLAIM_MEASURES), "policy_id", "left")
+    paid = named.join(policy_months(payments, PAYMENT_MEASURES), "policy_id")
+    return _per_segment(claimed.unionByName(paid, allowMissingColumns=True), TREND_MEASURES)
+
+
 def complete_segment() -> Column:
     """Facts of a segment with a NULL belong to no series."""
     complete = F.lit(True)
@@ -266,10 +316,8 @@ def payment_claims_trend(book: Portfolio) -> DataFrame:
 
     Policies without facts stay in the join, so that every segment is there.
     """
-    in_calendar = activity(book).filter(F.col("month_start").between(book.start, book.today))
-    sums = _segment_months(book.insured_policies(), policy_months(in_calendar, TREND_MEASURES),
-                           TREND_MEASURES, "left")
-    series = sums.withColumn("month_start", F.when(complete_segment(), F.col("month_start")))
+    series = _trend_cells(book).withColumn(
+        "month_start", F.when(complete_segment(), F.col("month_start")))
     dense = densify(series, SEGMENT, "month_start", list(TREND_MEASURES),
                     calendar(book.start, book.today))
     return finish_trend(running_totals(dense, SEGMENT, "month_start", TREND_TOTALS))
@@ -510,3 +558,74 @@ def accident_year_loss_ratio(book: Portfolio) -> DataFrame:
     )
     return years.withColumn("loss_ratio", ratio(F.col("claim_total"), F.col("earned_premium"))
                             ).orderBy("accident_year", F.col("policy_type").asc_nulls_last())
+
+
+# -- distinct counts and quantiles at several grains -------------------------------
+
+DISTINCT = ("policies_with_claims", "policies_with_open_claims", "policies_with_payments")
+
+
+def policy_bitmaps(book: Portfolio) -> DataFrame:
+    """Bitmaps of the policies with claims, open claims and payments per segment and month.
+
+    Facts collapse to one row per policy and month before they meet the policies.
+    """
+    status = F.col("claim_status")
+    claims = book.sound_claims(
+        "policy_id", book.month_of("claims").alias("month_start"),
+        F.coalesce(status.isin(*UNRESOLVED), F.lit(False)).alias("open")).select(
+        "policy_id", "month_start", F.lit(True).alias("claim"), "open",
+        F.lit(False).alias("payment"))
+    payments = book.sound_payments().select(
+        "policy_id", book.month_of("payments").alias("month_start"), F.lit(False).alias("claim"),
+        F.lit(False).alias("open"), F.lit(True).alias("payment"))
+    months = claims.unionByName(payments).filter(F.col("policy_id").isNotNull()).groupBy(
+        "policy_id", "month_start").agg(*[F.max(c).alias(c) for c in ("claim", "open", "payment")])
+    placed = book.insured_policies().select("policy_id", *SEGMENT).join(months, "policy_id")
+    return distinct_state(placed, [*SEGMENT, "month_start"], "policy_id", dict(zip(
+        DISTINCT, (F.col("claim"), F.col("open"), F.col("payment")))))
+
+
+def distinct_policies(book: Portfolio, state: DataFrame | None = None) -> DataFrame:
+    """Distinct policies with facts per segment and month, per policy type and in all.
+
+    The coarser counts come from the finer bitmaps alone.
+    """
+    state = policy_bitmaps(book) if state is None else state
+    columns = [*SEGMENT, "month_start"]
+    parts = []
+    for level, keys in (("cell", columns), ("policy_type", ["policy_type"]), ("all", [])):
+        merged = state if keys == columns else merge_distinct(state, keys, DISTINCT)
+        counts = distinct_counts(merged, keys, DISTINCT)
+        parts.append(counts.select(F.lit(level).alias("level"), *[
+            F.col(c) if c in keys else F.lit(None).cast(state.schema[c].dataType).alias(c)
+            for c in columns], *DISTINCT))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+CALIBRATED = ("loss_ratio", "open_exposure_ratio", "collection_ratio", "avg_claims_per_policy")
+PROBABILITIES = (0.25, 0.5, 0.75, 0.9, 0.95)
+
+
+def threshold_calibration(book: Portfolio, risk: DataFrame | None = None,
+                          probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
+    """Quantiles of the ratios behind the risk flags, to set their thresholds by loss history.
+
+    Per industry and state, per industry and in all; the coarser sketches are merged from the
+    finer ones. See :mod:`riskloom.operators.quantiles` for the error.
+    """
+    risk = customer_risk(book) if risk is None else risk
+    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("ratio"))
+                      for m in CALIBRATED])
+    rows = risk.select("industry", "state", F.explode(cells).alias("c")).select(
+        "industry", "state", "c.*")
+    columns = ["industry", "state"]
+    state = quantile_state(rows, [*columns, "measure"], F.col("ratio"))
+    parts = []
+    for level, keys in (("segment", columns), ("industry", ["industry"]), ("all", [])):
+        merged = state if keys == columns else merge_quantiles(state, [*keys, "measure"])
+        found = quantiles(merged, [*keys, "measure"], probabilities)
+        parts.append(found.select(F.lit(level).alias("level"), *[
+            F.col(c) if c in keys else F.lit(None).cast(risk.schema[c].dataType).alias(c)
+            for c in columns], "measure", "probability", "value_count", "value"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.plans import marts
+from riskloom.operators.observe import LoadMetrics
+from riskloom.plans import checks, marts
 from riskloom.plans.portfolio import SPINE_START, Portfolio
 from riskloom.sources.loads import load_delivery
 from riskloom.sources.tables import VersionedTable
@@ -26,6 +27,23 @@ def staged_with_totals(spark: SparkSession, book: Portfolio, path: str) -> Portf
     return staged.with_written({**staged.written, "policy_totals": spark.read.parquet(target)})
 
 
+def observed_build(spark: SparkSession, book: Portfolio,
+                   path: str) -> tuple[Portfolio, LoadMetrics]:
+    """Write clean views, policy totals, customer sums and months, observing each as it is
+    written, and keep the figures beside them."""
+    path = path.rstrip("/")
+    metrics = LoadMetrics(checks.load_measures(book))
+    staged = book.staged(spark, path, watch=metrics.watch)
+    for name, plan in (("policy_totals", marts.policy_totals),
+                       ("customer_rollup", marts.customer_rollup),
+                       ("profitability", marts.profitability_monthly)):
+        metrics.watch(name, plan(staged)).write.mode("overwrite").parquet(f"{path}/{name}")
+        staged = staged.with_written({**staged.written,
+                                      name: spark.read.parquet(f"{path}/{name}")})
+    metrics.keep(spark, path)
+    return staged, metrics
+
+
 def write_marts(spark: SparkSession, book: Portfolio, path: str) -> dict[str, DataFrame]:
     """Write every mart as the next version of its table under ``path``."""
     staged = staged_with_totals(spark, book, f"{path.rstrip('/')}/stage")

@@ -7,6 +7,7 @@ arrived since the last one, and a run without new files does nothing.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +68,36 @@ def append_only(rows: DataFrame, target_dir: str, checkpoint_dir: str,
     )
 
 
+# Class of the state store that keeps its state on disk.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def append_dedup(rows: DataFrame, target_dir: str, checkpoint_dir: str,
+                 key: str | Sequence[str],
+                 within: str = "30 days", arrived: Column | None = None,
+                 continuous: bool = False) -> StreamingQuery:
+    """Append a stream to a parquet table, leaving out rows whose key arrived before.
+
+    A key is remembered for ``within`` from its first arrival, across batches and restarts,
+    in a RocksDB state store beside the checkpoint: state grows with the keys of that time,
+    not with the table, and lies on the executors' disks. A key that comes again later is
+    appended again; :func:`riskloom.operators.keys.duplicate_keys` over the table finds such
+    keys without a limit in time. Of rows of one key in one batch any one stays. Rows
+    without a key (any of its columns is NULL) are all appended. ``arrived`` is the time that
+    counts; by default it is when the batch is read, so no file is ever too late to be taken.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    spark = rows.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    time = F.current_timestamp() if arrived is None else arrived
+    keyed = (rows.filter(has_key).withColumn("_arrived", time)
+             .withWatermark("_arrived", within).dropDuplicatesWithinWatermark(keys)
+             .drop("_arrived"))
+    return append_only(keyed.unionByName(rows.filter(~has_key)), target_dir, checkpoint_dir,
+                       continuous)
+
+
 def stream_upsert(rows: DataFrame, table: VersionedTable, checkpoint_dir: str,
                   key: str = POLICY_KEY, update: Sequence[str] = POLICY_UPDATES,
                   order_by: Sequence[str] | None = None, loaded_at: Column | None = None,
