@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,37 +29,18 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return stamp_load(spark.read.schema(TABLES[table]).options(**CSV_OPTIONS).csv(path))
 
 
-def _first_sign(store, path) -> str:
-    """The first character of a file that is not white space."""
-    stream = store.open(path)
-    try:
-        while (byte := stream.read()) in (9, 10, 13, 32, 0xEF, 0xBB, 0xBF):
-            pass
-        return chr(byte) if byte >= 0 else ""
-    finally:
-        stream.close()
-
-
 def split_by_form(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """The JSON files under ``path`` that hold one array each, and those with lines.
 
-    Each file is opened for its first character only.
+    Records are objects, so a file holds an array when one of its lines begins with a
+    bracket. Tasks look at the files, compressed ones too, and send a word for each file;
+    files without anything in them are in neither list.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    where = hadoop.Path(path)
-    store = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    pending, forms = list(store.globStatus(where) or []), ([], [])
-    while pending:
-        status = pending.pop()
-        name = status.getPath().getName()
-        if status.isDirectory():
-            pending.extend(x for x in store.listStatus(status.getPath())
-                           if not x.getPath().getName().startswith(("_", ".")))
-        elif not name.endswith((".gz", ".bz2", ".zst")):
-            forms[_first_sign(store, status.getPath()) != "["].append(status.getPath().toString())
-        else:
-            raise ValueError(f"say with array_file what the compressed {name} holds")
-    return forms
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    opens = F.ltrim(F.regexp_replace("value", "[\ufeff\t]", " ")).startswith("[")
+    forms = lines.filter(F.trim("value") != "").groupBy(
+        F.col("_metadata.file_path").alias("file")).agg(F.max(opens).alias("array")).collect()
+    return tuple([unquote(r.file) for r in forms if r.array == array] for array in (True, False))
 
 
 def read_json(spark: SparkSession, path: str, table: str,
@@ -66,8 +48,8 @@ def read_json(spark: SparkSession, path: str, table: str,
     """JSON records with typed fields, from arrays or with one record per line.
 
     ``array_file`` tells which of the two all files are; otherwise each file is looked
-    at, and a folder may hold both. A file with an array cannot be split, so deliver
-    large loads as many files or as lines.
+    at, which reads them once more, and a folder may hold both. A file with an array cannot
+    be split, so deliver large loads as many files or as lines.
     """
     def read(paths: str | list[str], array: bool) -> DataFrame:
         reader = spark.read.schema(TABLES[table]).option("mode", "FAILFAST")
@@ -77,7 +59,7 @@ def read_json(spark: SparkSession, path: str, table: str,
         return stamp_load(read(path, array_file))
     arrays, lines = split_by_form(spark, path)
     if not arrays:
-        return stamp_load(read(path, False))
+        return stamp_load(read(lines or path, False))
     rows = read(arrays, True)
     return stamp_load(rows.unionByName(read(lines, False)) if lines else rows)
 

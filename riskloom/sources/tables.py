@@ -28,7 +28,7 @@ class VersionedTable:
     """Any number of readers; writers that collide fail and may retry.
 
     ``key`` deals rows to buckets; without one, as for tables that are only replaced as a
-    whole, there is one bucket. Exclusive creation needs a store that has it, such as a
+    whole, there is one bucket. ``buckets`` counts for a new table; commits carry the number. Exclusive creation needs a store that has it, such as a
     distributed or local file system.
     """
 
@@ -78,7 +78,12 @@ class VersionedTable:
     # -- reading ---------------------------------------------------------------
 
     def bucket_of(self, column: Column) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(self.buckets)).cast("int")
+        """Bucket of a key, by the number of buckets the table was first written with."""
+        return self._bucket(column, self._current())
+
+    def _bucket(self, column: Column, current: dict | None) -> Column:
+        buckets = current.get("buckets", BUCKETS) if current and self.key else self.buckets
+        return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
 
     def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """The current rows, of all buckets or of some."""
@@ -119,10 +124,12 @@ class VersionedTable:
                stream: str | None, batch_id: int | None) -> int:
         following = 0 if current is None else current["version"] + 1
         folder = f"data/{following:012d}-{uuid.uuid4().hex}"
-        bucket = self.bucket_of(F.col(self.key)) if self.key else F.lit(0)
+        bucket = self._bucket(F.col(self.key), current) if self.key else F.lit(0)
         rows = df.withColumn(_BUCKET, bucket)
         if self.key:
-            rows = rows.repartition(_BUCKET)
+            # Adaptive execution gathers small buckets and splits large ones over several
+            # tasks, so a bucket is as many files as its size asks for.
+            rows = rows.hint("rebalance", F.col(_BUCKET))
         rows.write.partitionBy(_BUCKET).parquet(f"{self.path}/{folder}")
         store, place = self._store(), self._place(folder)
         written = [s.getPath().getName().split("=")[1] for s in store.listStatus(place)
@@ -131,7 +138,9 @@ class VersionedTable:
         if stream is not None:
             streams[stream] = batch_id
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        buckets = current.get("buckets", BUCKETS) if current else self.buckets
         self._create(following, {"version": following, "streams": streams, "schema": schema,
+                                 "buckets": buckets,
                                  "folders": kept | {b: folder for b in written}})
         return following
 

@@ -271,3 +271,39 @@ def test_scratch_follows_the_session_setting():
     assert "riskloom-" in scratch_dir(session("local[2]"), "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(session("yarn"), "x")
+
+
+def test_forms_are_told_by_the_tasks(spark, tmp_path):
+    """Compressed files, white space and spaces in names; an empty file is of no form."""
+    import gzip
+
+    record = '{"endorsement_id": %d, "policy_id": 1}'
+    folder = tmp_path / "a b"
+    (folder / "deep").mkdir(parents=True)
+    (folder / "array.json").write_text("\n  [\n" + record % 1 + ",\n" + record % 2 + "]\n")
+    (folder / "deep" / "lines.json").write_text(record % 3 + "\n\n" + record % 4 + "\n")
+    (folder / "empty.json").write_text("")
+    with gzip.open(folder / "more.json.gz", "wt") as out:
+        out.write("[" + record % 5 + "]")
+    arrays, lines = files.split_by_form(spark, str(folder))
+    assert [len(arrays), len(lines)] == [2, 1]
+    got = files.read_json(spark, str(folder), "endorsements")
+    assert sorted(r.endorsement_id for r in got.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """The bucket stays one folder, whose files are of the advised size."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=2)
+        rows = spark.range(0, 40000, 1, 8).selectExpr("if(id % 5 > 0, 7, id) AS k", "uuid() AS v")
+        table.replace(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    folders = Counter(f.rsplit("/", 2)[1] for f in table.read().inputFiles())
+    assert len(folders) == 2 and max(folders.values()) > 4
+    assert table.read().count() == 40000
+    # Another handle goes by the number in the commit.
+    again = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=50)
+    bucket = spark.range(1).select(again.bucket_of(F.lit(7).cast("long"))).first()[0]
+    assert bucket in (0, 1) and again.read([bucket]).filter("k = 7").count() == 32000
