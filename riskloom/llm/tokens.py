@@ -3,7 +3,8 @@
 A byte-level tokenizer cuts a text into words before it looks for merges, and a space
 followed by a letter or digit always begins a word. So a text may be cut at such spaces and
 each piece looked up among the pieces met before; only new ones go to the tokenizer's
-model. The ids are those of the whole text. Files of another kind encode whole texts.
+model. The ids are those of the whole text. Files of another kind, and texts in which an added
+token is spelled out, are encoded whole.
 """
 
 from __future__ import annotations
@@ -46,8 +47,10 @@ class Encoder:
 
         path = path or default_path()
         self.tokenizer = Tokenizer.from_file(path)
-        # A text that spells out a special token is ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        # The library looks for added tokens before it cuts words, so texts that spell one
+        # out go to it whole.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.by_piece = _cuts_words_at_spaces(path)
         self.young: dict[str, bytes] = {}
@@ -98,7 +101,8 @@ class Encoder:
         if not self.by_piece:
             codes = [ids.tobytes() for ids in self._ids([t or "" for t in texts])]
         else:
-            cut = [_BEFORE_WORD.split(t or "") for t in texts]
+            cut = [[t or ""] if self.added and self.added.search(t or "")
+                   else _BEFORE_WORD.split(t or "") for t in texts]
             heads = self._ids([p.pop(0) for p in cut])
             known = self._learn(set().union(*cut)).__getitem__
             codes = [head.tobytes() + b"".join(map(known, p)) for head, p in zip(heads, cut)]

@@ -29,4 +29,5 @@ def awkward_rows() -> list[tuple]:
     return [(1, base), (2, base), (3, " ".join(near)), (4, ""), (5, None), (6, " \t\n"),
             (7, "one"), (7, "one"), (8, prose(2, 6000)), (9, base.upper()),
             (10, "ü" * 300), (11, "a" * 500), (12, "x y"), (13, prose(3, 40) + base),
-            (14, prose(4, 30)), (14, prose(5, 30)), (None, base), (None, None)]
+            (14, prose(4, 30)), (14, prose(5, 30)), (15, "one<|endoftext|>two <|endoftext|> three"),
+            (None, base), (None, None)]

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from riskloom.llm import packing, token_files, tokens
 from tests.llm.fixtures import awkward_rows, docs_frame
@@ -15,8 +16,18 @@ def encoder():
     return tokens.Encoder()
 
 
+# The library itself, as it comes from the file.
+LIBRARY = Tokenizer.from_file(tokens.default_path())
+
+
 def ids_of(encoder, text):
-    return encoder.tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+def test_added_tokens_are_those_of_the_library(encoder):
+    for text in ("a<|endoftext|>b", " <|endoftext|> a b", "a b <|endoftext|>"):
+        assert encoder.encode([text])[0].tolist() == ids_of(encoder, text)
+    assert 50256 in ids_of(encoder, "a<|endoftext|>b")
 
 
 def crc(ids):
