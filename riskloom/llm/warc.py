@@ -198,7 +198,9 @@ def read_archives(archives: DataFrame, with_content: bool = True) -> DataFrame:
                 if held:
                     yield rows_of(held)
 
-    return archives.select("archive").repartition("archive").mapInArrow(read, kinds)
+    # A stated number of tasks is kept, where a few bytes of names would end up in one task.
+    tasks = max(1, archives.count())
+    return archives.select("archive").repartition(tasks, "archive").mapInArrow(read, kinds)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
