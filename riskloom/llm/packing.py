@@ -199,6 +199,9 @@ def _pack_shards(items: DataFrame, shards: int, capacity: int) -> DataFrame:
                    .agg(F.collect_list(struct).alias("items")), "shards")
     islands = held.select("shard", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))
                           .alias("island"), F.col("items.length").alias("lengths"))
+    # Islands are few bytes and much work: a stated number of tasks is not made smaller.
+    wanted = 16 * int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(shards * ISLANDS, wanted)
     packed = None
     for epoch in range(EPOCHS):
         if packed is None:
@@ -210,8 +213,7 @@ def _pack_shards(items: DataFrame, shards: int, capacity: int) -> DataFrame:
             gathered = moves.groupBy("shard", "island").agg(
                 F.collect_list("packing").alias("given"))
             given = islands.join(gathered, ["shard", "island"])
-        packed = written(_breed(given.repartition(F.col("shard"), F.col("island")),
-                                capacity, epoch), "packings")
+        packed = written(_breed(given.repartition(tasks, "shard", "island"), capacity, epoch), "packings")
     best = packed.groupBy("shard").agg(F.max(F.struct("fewness", "fullness", "packing"))
                                        .getField("packing").alias("packing"))
     rows = held.join(best, "shard").select("shard", F.explode(
