@@ -80,7 +80,8 @@ def all_seeds(words: np.ndarray, masks: list[str]) -> Iterator[np.ndarray]:
 
 def longest_overlap(one: np.ndarray, two: np.ndarray, shift: int) -> tuple[int, int]:
     """Words and equal words of the longest stretch with ``LEAST_EQUAL`` equal ones when
-    ``two`` begins at place ``shift`` of ``one``; it begins and ends with an equal word."""
+    ``two``, the item, begins at place ``shift`` of ``one``. It begins and ends with an equal word
+    or with the item's first or last."""
     start = max(0, -shift)
     stop = min(len(two), len(one) - shift)
     if stop <= start:
@@ -92,10 +93,13 @@ def longest_overlap(one: np.ndarray, two: np.ndarray, shift: int) -> tuple[int,
     first_below = np.minimum.accumulate(sums)
     counts = np.concatenate([[0], np.cumsum(equal)])
     best = (0, 0)
-    for end in np.flatnonzero(equal) + 1:
+    ends = np.flatnonzero(equal) + 1
+    if stop == len(two) and not equal[-1]:
+        ends = np.append(ends, len(equal))
+    for end in ends:
         # The earliest start whose sum is not above the end's.
         at = int(np.searchsorted(-first_below, -sums[end]))
-        while at < end and not equal[at]:
+        while at < end and not equal[at] and start + at:
             at += 1
         if end - at > best[0] and sums[end] >= sums[at]:
             best = (int(end - at), int(counts[end] - counts[at]))

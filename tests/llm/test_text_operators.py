@@ -269,8 +269,8 @@ def best_overlap(one, two):
         equal = [0 <= i + shift < len(one) and one[i + shift] == two[i] for i in range(len(two))]
         inside = [0 <= i + shift < len(one) for i in range(len(two))]
         for i, j in itertools.combinations(range(len(two) + 1), 2):
-            if (j - i >= 12 and equal[i] and equal[j - 1] and all(inside[i:j])
-                    and 5 * sum(equal[i:j]) >= 4 * (j - i)):
+            if (j - i >= 12 and (equal[i] or i == 0) and (equal[j - 1] or j == len(two))
+                    and all(inside[i:j]) and 5 * sum(equal[i:j]) >= 4 * (j - i)):
                 best = max(best, j - i)
     return best
 
@@ -292,6 +292,20 @@ def test_overlaps_match_brute_force_over_random_substitutions(spark):
     assert {(r.doc_id, r.item_id, r.words) for r in got} == want
 
 
+def test_substituted_edges_of_an_item_count(spark):
+    """Every placement of a fifth of substitutions, the first and last word included."""
+    items = [(n, [f"i{n}x{j}" for j in range(n)]) for n in (12, 13, 15)]
+    docs, want = [], set()
+    for n, words in items:
+        for places in itertools.combinations(range(n), n // 5):
+            want.add((len(docs), n, n, n - n // 5))
+            text = [w if i not in places else "zq" for i, w in enumerate(words)]
+            docs.append((len(docs), " ".join(["one"] + text + ["end"])))
+    got = decontam.overlaps(docs_frame(spark, docs),
+                            items_frame(spark, [(n, " ".join(w)) for n, w in items]))
+    assert set(map(tuple, got.collect())) == want
+
+
 def test_short_items_are_found_by_the_share_of_equal_words(spark):
     items = [(n, [f"i{n}x{j}" for j in range(n)]) for n in range(6, 12)]
     docs, want = [], set()
@@ -321,6 +335,7 @@ def test_longest_overlap_matches_brute_force():
         pairs = [(i + shift, i) for i in range(len(two)) if 0 <= i + shift < len(one)]
         equal = [one[a] == two[b] for a, b in pairs]
         want = max([j - i for i in range(len(equal)) for j in range(i + 1, len(equal) + 1)
-                    if equal[i] and equal[j - 1]
+                    if (equal[i] or pairs[i][1] == 0)
+                    and (equal[j - 1] or pairs[j - 1][1] == len(two) - 1)
                     and sum(equal[i:j]) * 5 >= 4 * (j - i)], default=0)
         assert decontam.longest_overlap(one, two, shift)[0] == want
