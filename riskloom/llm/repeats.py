@@ -7,13 +7,16 @@ so that each string lies whole in one phrase and no phrase suffix of that length
 follows it.
 
 The dictionary holds each distinct phrase once, with its first place; all other occurrences
-repeat it whole. What is left are distinct phrases with one trigger. Their suffixes of
-``WIDTH`` bytes are sorted; among equal ones the parse (row, then place) gives the corpus
-order, and all but the first are repeats. As phrases with different triggers share no string
-of that width, dictionaries and suffixes are sorted apart from each other, on many machines.
-Phrases of most triggers meet whole in one task. Those of a frequent trigger, such as a line
-in very many surroundings, are never gathered: their suffixes are dealt out by content.
-Suffixes and phrases are compared by 128-bit hashes.
+repeat it whole. What is left are distinct phrases with one trigger. A suffix array of the
+dictionary orders their suffixes by the first ``WIDTH`` bytes; the parse, the rows and places
+where phrases begin, orders equal ones, and all but the first are repeats. No suffix of a
+phrase needs the phrases that follow it to be told from another, so the parse is ordered by
+place and not by its own suffixes. As phrases with different triggers share no string of that
+width, the dictionary is cut by triggers and its parts are sorted on many machines.
+
+Phrases of most triggers meet whole in one task, where bytes are compared. Those of a frequent
+trigger, such as a line in very many surroundings, are never gathered: their strings are dealt
+out by content. These, and whole phrases, are compared by 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +38,16 @@ GRAM = 20
 BLOCK = 1 << 18
 #: Phrases, or suffixes, that a task sorts among themselves before it sends any.
 SORTED_AT_ONCE = 1_000_000
-#: A trigger with more phrases in a task is frequent: they are dealt out one by one.
+#: A trigger with more phrases in a task, or in all tasks, is frequent: they are dealt out one
+#: by one.
 FREQUENT = 8
+GATHERED = 4096
+#: Bytes of a part of the dictionary that is sorted at once, and rows added to it at a time. A
+#: phrase has at most 2 * WIDTH - GRAM bytes, so with these, and with what is left over of the
+#: last trigger, a part stays below 2**RANK_BITS bytes.
+DICTIONARY_BYTES = 900_000
+DICTIONARY_ROWS = 2048
+RANK_BITS = 21
 
 _POSITION = U((1 << 20) - 1)
 _BYTES_A = mix(np.arange(1, 257, dtype=U) * GOLD)
@@ -218,6 +230,47 @@ def _parts(one, two, rows, starts, data: list | None) -> pa.RecordBatch:
         "data": pa.array(data, pa.binary()) if data else pa.nulls(len(rows), pa.binary())})
 
 
+def suffix_ranks(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Ranks of the ``WIDTH`` bytes at these places; equal bytes have equal ranks.
+
+    Ranks of 8 bytes give those of 24, these give those of 72, and two more of 24 bytes, the
+    last four of which are new, settle the rest. ``data`` has less than 2**RANK_BITS bytes.
+    """
+    if len(data) >> RANK_BITS:
+        raise ValueError("too many bytes to rank at once")
+
+    def ranks(*parts: np.ndarray) -> np.ndarray:
+        packed = parts[0].astype(U)
+        for part in parts[1:]:
+            packed = packed << U(RANK_BITS) | part.astype(U)
+        return np.unique(packed, return_inverse=True)[1]
+
+    if not len(at):
+        return np.zeros(0, np.int64)
+    windows = np.lib.stride_tricks.sliding_window_view(data, 8)
+    words = ranks(np.ascontiguousarray(windows).view(">u8").ravel())
+    short = ranks(words[:-16], words[8:-8], words[16:])
+    long = ranks(short[at], short[at + 24], short[at + 48])
+    return ranks(long, short[at + 72], short[at + WIDTH - 24])
+
+
+def dictionary_order(data: bytes, lengths: np.ndarray, rows: np.ndarray, starts: np.ndarray
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffix array of a dictionary, combined with its parse: row and place of each suffix
+    of at least ``WIDTH`` bytes, ordered by its first bytes and, where these are equal, by the
+    corpus; and whether it is the first of its kind.
+
+    ``data`` has the phrases one after the other; the parse has ``rows`` and ``starts``.
+    """
+    count = lengths - WIDTH + 1
+    phrase = np.repeat(np.arange(len(lengths)), count)
+    offset = np.arange(len(phrase)) - (np.cumsum(count) - count)[phrase]
+    at = (np.cumsum(lengths) - lengths)[phrase] + offset
+    row, place = rows[phrase], starts[phrase] + offset
+    order, first = _firsts([suffix_ranks(np.frombuffer(data, np.uint8), at)], row, place)
+    return row[order], place[order], first
+
+
 def _strings_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of every string of ``WIDTH`` bytes."""
     every = np.arange(len(data) - WIDTH + 1)
@@ -261,9 +314,22 @@ def _contested_parts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(find, _PARTS)
 
 
+def _joined(phrases: list[tuple]) -> tuple:
+    columns = list(zip(*phrases))
+    return (*(np.concatenate(c) for c in columns[:4]), b"".join(columns[4]))
+
+
+def _tail(phrases: list[tuple], key: int) -> tuple:
+    """The phrases, in ascending order of their keys, from this key on."""
+    *columns, data = _joined(phrases)
+    keys = int(np.searchsorted(columns[0], key))
+    return (*(c[keys:] for c in columns), data[int(columns[3][:keys].sum()):])
+
+
 def _later_strings(parts: DataFrame) -> DataFrame:
     """Intervals of strings that start earlier too. Equal strings share a key, so a task takes
-    keys one after the other and sorts whenever it has gathered enough."""
+    keys one after the other and sorts whenever it has gathered enough: phrases by the suffix
+    array of their dictionary, strings of frequent triggers by their hashes."""
 
     def runs(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
         rows, starts, ends = merged_runs(rows, starts, ends)
@@ -276,31 +342,43 @@ def _later_strings(parts: DataFrame) -> DataFrame:
         again = order[~first]
         return runs(row[again], start[again], start[again] + WIDTH)
 
+    def repeated(phrases: list[tuple], before: int | None = None) -> pa.RecordBatch:
+        *columns, data = _joined(phrases)
+        if before is not None:
+            keys = int(np.searchsorted(columns[0], before))
+            columns = [c[:keys] for c in columns]
+            data = data[:int(columns[3].sum())]
+        _, row, start, length = columns
+        row, place, first = dictionary_order(data, length, row, start)
+        return runs(row[~first], place[~first], place[~first] + WIDTH)
+
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # key, both hashes, row and start of strings
+        strings: list[tuple] = []  # key, both hashes, row and start of strings
+        phrases: list[tuple] = []  # key, row, start, length and bytes of phrases
         for batch in batches:
-            key, print_, row, start = (batch.column(i).to_numpy() for i in range(4))
-            alone = batch.column(4).is_null().to_numpy(zero_copy_only=False)
-            held.append((key[alone], key[alone].view(U), print_[alone].view(U), row[alone],
-                         start[alone]))
-            settled = []
-            for i in np.flatnonzero(~alone).tolist():
-                data = batch.column(4)[i].as_buffer()
-                if not data.size:
-                    settled.append(i)
-                    continue
-                one, two = _strings_of(np.frombuffer(data, np.uint8))
-                held.append((np.full(len(one), key[i]), one, two, np.full(len(one), row[i]),
-                             start[i] + np.arange(len(one))))
-            if settled:
-                yield runs(row[settled], start[settled], start[settled] + print_[settled])
-            if sum(len(h[0]) for h in held) >= SORTED_AT_ONCE:
-                every = [np.concatenate(x) for x in zip(*held)]
-                open_ = every[0] == key[-1]  # more rows of this key may follow
-                yield later(*(x[~open_] for x in every[1:]))
-                held = [tuple(x[open_] for x in every)]
-        if held:
-            yield later(*(np.concatenate(x) for x in list(zip(*held))[1:]))
+            for at in range(0, batch.num_rows, DICTIONARY_ROWS):
+                piece = batch.slice(at, DICTIONARY_ROWS)
+                key, print_, row, start = (piece.column(i).to_numpy() for i in range(4))
+                length = pc.fill_null(pc.binary_length(piece.column(4)), -1).to_numpy()
+                alone, whole, settled = length < 0, length > 0, length == 0
+                strings.append((key[alone], key[alone].view(U), print_[alone].view(U),
+                                row[alone], start[alone]))
+                phrases.append((key[whole], row[whole], start[whole], length[whole],
+                                b"".join(filter(None, piece.column(4).to_pylist()))))
+                if settled.any():
+                    yield runs(row[settled], start[settled], start[settled] + print_[settled])
+                # More rows of the last key may follow.
+                if sum(len(h[0]) for h in strings) >= SORTED_AT_ONCE:
+                    every = [np.concatenate(x) for x in zip(*strings)]
+                    open_ = every[0] == key[-1]
+                    yield later(*(x[~open_] for x in every[1:]))
+                    strings = [tuple(x[open_] for x in every)]
+                if sum(len(p[4]) for p in phrases) >= DICTIONARY_BYTES:
+                    yield repeated(phrases, key[-1])
+                    phrases = [_tail(phrases, key[-1])]
+        if strings:
+            yield later(*(np.concatenate(x) for x in list(zip(*strings))[1:]))
+            yield repeated(phrases)
 
     return (parts.repartition("key").sortWithinPartitions("key")
             .mapInArrow(settle, "row bigint, start bigint, length int"))
@@ -358,6 +436,7 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     texts = numbered(docs)
     by_key = Window.partitionBy("key")
     frequent = ((F.max((F.col("state") == WITNESS).cast("int")).over(by_key) == 1)
+                | (F.count(F.lit(1)).over(by_key) > GATHERED)
                 | (F.col("state") == FREQUENT_PHRASE))
     contested = (F.min("print").over(by_key) != F.max("print").over(by_key)) | F.col("frequent")
     removed = F.col("later") | (F.col("state") == REMOVED)

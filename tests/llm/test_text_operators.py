@@ -70,6 +70,40 @@ def test_frequent_triggers_are_dealt_out(spark):
     assert Counter(tuple(r) for r in got) == want and any(r[2] for r in want)
 
 
+def test_triggers_of_many_tasks_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "GATHERED", 2)
+    rows = passages(4)
+    got = repeats.without_repeats(docs_frame(spark, rows).repartition(5)).collect()
+    assert Counter(tuple(r) for r in got) == cut_by_brute_force(rows)
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefghé \xff"])
+def test_dictionary_order_is_that_of_sorted_suffixes(letters):
+    """Against suffixes cut out and sorted, ties by row and place."""
+    rnd = random.Random(len(letters))
+    line = "".join(rnd.choice(letters) for _ in range(130))
+    phrases = [line[rnd.randrange(20):][:rnd.randint(100, 110)] + line[:rnd.randrange(60)]
+               for _ in range(40)] + ["a" * 180, "a" * 100]
+    phrases = [p.encode("latin-1") for p in phrases]
+    rows = np.array([rnd.randrange(9) for _ in phrases])
+    starts = np.array([1000 * i for i in rnd.sample(range(100), len(phrases))])
+    row, place, first = repeats.dictionary_order(
+        b"".join(phrases), np.array([len(p) for p in phrases]), rows, starts)
+    want = sorted((p[i:i + 100], int(r), int(s) + i) for p, r, s in zip(phrases, rows, starts)
+                  for i in range(len(p) - 99))
+    assert list(zip(row.tolist(), place.tolist())) == [w[1:] for w in want]
+    assert first.tolist() == [i == 0 or want[i - 1][0] != w[0] for i, w in enumerate(want)]
+
+
+def test_dictionary_is_sorted_in_parts(monkeypatch, spark):
+    """Parts that end within a trigger keep its phrases for the next."""
+    monkeypatch.setattr(repeats, "DICTIONARY_BYTES", 500)
+    monkeypatch.setattr(repeats, "DICTIONARY_ROWS", 3)
+    rows = passages(5) + [(500 + i, prose(9, 30) + prose(700 + i, 3)) for i in range(80)]
+    got = repeats.without_repeats(docs_frame(spark, rows).repartition(3)).collect()
+    assert Counter(tuple(r) for r in got) == cut_by_brute_force(rows)
+
+
 def test_phrases_hold_every_string_once():
     data = np.frombuffer(prose(8, 900).encode(), np.uint8)
     starts, count, _, _ = repeats.parse(data, np.zeros(len(data), int))
