@@ -170,6 +170,18 @@ def test_groups_of_awkward_rows(spark):
     assert neardup.near_duplicates(docs_frame(spark, [])).count() == 0
 
 
+def test_members_of_one_label_never_meet(spark):
+    """A large group with an outsider: the pairs that are formed grow with its size only."""
+    n = 20_000
+    rows = spark.range(n + 3).selectExpr(
+        "7L AS key", "id AS rep", "100L AS size", "95L AS rest", "1L AS weight",
+        f"IF(id < {n}, 0L, {n} + id % 2) AS label", "0L AS main")
+    assert neardup._met(rows).count() == 3 * (n + 3)
+    got = neardup._pairs_of_labels(rows, 80)
+    assert got.count() == got.distinct().count() == 3 * n + 2
+    assert got.filter("a >= b").isEmpty()
+
+
 def test_signatures_estimate_similarity():
     rnd = np.random.default_rng(2)
     pool = rnd.integers(0, 2**63, 1200).astype(np.uint64)
@@ -191,26 +203,51 @@ def test_components_of_chains_and_stars(spark):
 
 # -- language model ----------------------------------------------------------------
 
-def scores_by_brute_force(rows):
+def exponent_by_brute_force(counts, once):
+    """Of one order, by the mean count of the states of each power of two."""
+    classes = {}
+    for c in counts:
+        classes.setdefault(c.bit_length(), []).append(c)
+    groups = [(sum(g), sum(g) / len(g)) for g in classes.values()]
+    wanted = min(max(once, 1), .99 * sum(m for m, _ in groups))
+    low, high = 0, 64
+    for _ in range(100):
+        g = (low + high) / 2
+        low, high = (g, high) if sum(m * (1 + c) ** -g for m, c in groups) > wanted else (low, g)
+    return low
+
+
+def scores_by_brute_force(rows, order=3):
+    """The recursion of the weights over contexts of up to ``order - 1`` words."""
     tokens = lambda t: (t or "").encode().lower().split() + [None]
     held = [d is None or zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows]
-    one, two = Counter(), Counter()
+    grams, after = [Counter(), Counter(), Counter()], [Counter(), Counter(), Counter()]
     for (_, text), h in zip(rows, held):
-        if not h:
-            words = tokens(text)
-            one.update(words)
-            two.update(zip([0, *words], words))
-    n, v = sum(one.values()), len(one)
-    unseen = (sum(c == 1 for c in two.values()) + 1) / (n + 2)
+        words = [0, *tokens(text)]
+        for i in range(1, len(words) if not h else 0):
+            for k in range(min(i + 1, 3)):
+                grams[k][tuple(words[i - k:i + 1])] += 1
+                after[k][tuple(words[i - k:i])] += 1
+    n, v = sum(grams[0].values()), len(grams[0])
+    exponents = [0, *(exponent_by_brute_force(after[k].values(),
+                                              sum(c == 1 for c in grams[k].values()))
+                      for k in (1, 2))]
+
+    def weight(context, word):
+        if not context:
+            return (grams[0][(word,)] + 1) / (n + v + 1)
+        k, shorter = len(context), weight(context[1:], word)
+        met = after[k][context]
+        fail = (1 + met) ** -exponents[k]
+        return (1 - fail) * grams[k][(*context, word)] / met + fail * shorter if met else shorter
+
     out = []
     for (doc, text), h in zip(rows, held):
-        words, base, score = tokens(text), 0, 0
-        for before, word in zip([0, *words], words):
-            root = (one[word] + 1) / (n + v + 1)
-            count = one[None] if before == 0 else one[before]
-            path = root if not count else (1 - unseen) * two[before, word] / count + unseen * root
-            base, score = base + math.log10(root), score + math.log10(path)
-        out.append((str(doc), h, len(words), sum(one[w] > 0 for w in words), n,
+        words, base, score = [0, *tokens(text)], 0, 0
+        for i in range(1, len(words)):
+            base += math.log10(weight((), words[i]))
+            score += math.log10(weight(tuple(words[max(0, i - order + 1):i]), words[i]))
+        out.append((str(doc), h, len(words) - 1, sum(grams[0][(w,)] > 0 for w in words[1:]), n,
                     round(base, 6), round(score, 6)))
     return Counter(out)
 
@@ -223,28 +260,51 @@ def test_scores_match_brute_force(spark, rows, block):
                    for r in got) == scores_by_brute_force(rows)
 
 
+def test_longer_states_help_with_held_out_texts(spark):
+    """Texts that follow patterns of three words, and repeated ones: better than by bigrams."""
+    rnd = random.Random(8)
+    verses = [" ".join(rnd.choice("a b c d e f".split()) for _ in range(3)) for _ in range(30)]
+    rows = [(i, " ".join(rnd.choice(verses) for _ in range(20))) for i in range(200)]
+    got = {r.doc_id: r for r in ngram_lm.text_scores(docs_frame(spark, rows)).collect()}
+    assert Counter((str(r[0]), *tuple(r)[1:5], round(r[5], 6), round(r[6], 6))
+                   for r in got.values()) == scores_by_brute_force(rows)
+    short = sum(s[-1] for s in scores_by_brute_force(rows, order=2) if s[1])
+    assert sum(r.score for r in got.values() if r.held_out) > short
+
+
 def test_arcs_of_a_state_sum_to_one():
     hashes = neardup.WordHashes()
-    docs = [ngram_lm.token_hashes(t.encode().split(), hashes) for t in ("a b a c", "b a", "c c d")]
-    block = ngram_lm.Block(docs, np.array([True, True, False]))
-    counts = block.counts.astype(float)
-    trained = [t for d in docs[:2] for t in d]
-    model = ngram_lm.Automaton(counts, len(trained), len(set(trained)), .3)
-    # From the state of "a" to every known token, and to the unknown one.
-    follow = [ngram_lm.Block([ngram_lm.token_hashes([b"a"] + w, hashes)], np.array([True]))
-              for w in ([b"a"], [b"b"], [b"c"], [b"zz"], [])]
-    total = 0
-    for b in follow:
-        own = np.array([counts[np.searchsorted(block.keys, k)] if k in block.keys else 0.
-                        for k in b.keys])
-        path, _, _ = ngram_lm.Automaton(own, model.tokens, model.words, .3).walk(b)
-        total += 10 ** path[1]
-    assert math.isclose(total, 1, rel_tol=1e-9)
+    texts = ("a b a c", "b a", "c c d", "a b c")
+    docs = [ngram_lm.token_hashes(t.encode().split(), hashes) for t in texts]
+    trained = ngram_lm.Block(docs, np.array([True, True, False, True]))
+    tokens = [t for d, h in zip(docs, (1, 1, 0, 1)) if h for t in d]
+    find = lambda keys, counts, wanted: np.array(
+        [counts[np.searchsorted(keys, k)] if k in keys else 0 for k in wanted])
+    # From states of two words, of one, of the start and of the root to every known token, and
+    # to the unknown one.
+    for state in ([b"a", b"b"], [b"b", b"a"], [b"c", b"b"], [b"d", b"zz"], []):
+        total = 0
+        for word in ([b"a"], [b"b"], [b"c"], [b"zz"], []):
+            block = ngram_lm.Block([ngram_lm.token_hashes(state + word, hashes)],
+                                   np.array([True]))
+            model = ngram_lm.Automaton(
+                find(trained.words, trained.word_counts, block.words),
+                find(trained.grams, trained.gram_counts, block.grams),
+                len(tokens), len(set(tokens)), (.4, .7))
+            total += 10 ** model.walk(block)[0][len(state)]
+        assert math.isclose(total, 1, rel_tol=1e-9), state
+
+
+def test_failure_arcs_carry_the_mass_of_unseen_followers():
+    states, mass = np.array([50, 0, 20, 3]), np.array([50, 0, 110, 31])
+    g = ngram_lm.failure_exponent(states, mass, 70)
+    met = np.array([1, 110 / 20, 31 / 3])
+    assert math.isclose((mass[[0, 2, 3]] * (1 + met) ** -g).sum(), 70, rel_tol=1e-9)
 
 
 def test_packed_keys_come_back():
     rnd = np.random.default_rng(0)
-    for n in (1, 2, 1000):
+    for n in (0, 1, 2, 1000):
         keys = np.unique(rnd.integers(0, 2**64, n, dtype=np.uint64))
         assert (ngram_lm.unpack_keys(ngram_lm.pack_keys(keys)) == keys).all()
 
