@@ -243,6 +243,27 @@ def _rest_allows(one: str, two: str, percent: int):
     return (100 + percent) * common >= percent * size
 
 
+def _met(members: DataFrame) -> DataFrame:
+    """Members of a bucket outside its largest label (``main``) with all of the bucket.
+
+    These are at most twice the pairs of different label, however large a label is: a smaller
+    label has no more than half of the members, so that each of its members has as many to meet.
+    """
+    one = members.filter("label != main").alias("x")
+    return one.join(members.alias("y"), F.col("x.key") == F.col("y.key"))
+
+
+def _pairs_of_labels(members: DataFrame, percent: int) -> DataFrame:
+    """Each pair of different label in ``members(key, rep, size, rest, label, main)`` of which
+    sizes and places allow that it is similar: once for each bucket."""
+    once = (F.col("y.label") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))
+    return _met(members).filter(
+        (F.col("x.label") != F.col("y.label")) & once
+        & _sizes_allow(F.col("x.size"), F.col("y.size"), percent)
+        & _rest_allows("x.", "y.", percent)).select(
+        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """Every row of ``docs(doc_id, text)`` with ``n_shingles``, ``component_id`` and ``kept``.
@@ -317,19 +338,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, bands: int = BANDS,
         few = (F.col("n") * F.col("n") - F.col("squares")) <= OPEN_PAIRS * F.col("n")
         buckets = written(per_label.groupBy("key").agg(
             F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-            F.count(F.lit(1)).alias("labels")).filter(F.col("labels") > 1)
-            .select("key", few.alias("few")), "open-buckets")
+            F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label")).alias("largest"))
+            .filter(F.col("labels") > 1)
+            .select("key", few.alias("few"), F.col("largest.label").alias("main")),
+            "open-buckets")
         counts = buckets.agg(F.count(F.lit(1)), F.count_if(~F.col("few"))).first()
         if not counts[0]:
             break
         going = written(state.join(buckets, "key"), "open-members")
-        one, two = going.filter("few").alias("x"), going.filter("few").alias("y")
-        pairs = one.join(two, (F.col("x.key") == F.col("y.key"))
-                         & (F.col("x.rep") < F.col("y.rep"))
-                         & (F.col("x.label") != F.col("y.label"))
-                         & _sizes_allow(F.col("x.size"), F.col("y.size"), percent)
-                         & _rest_allows("x.", "y.", percent)).select(
-            F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+        pairs = _pairs_of_labels(going.filter("few"), percent)
         if counts[1]:
             # Anchors of a bucket are of its youngest groups.
             slot = F.pmod(F.xxhash64("rep"), F.lit(anchors))
