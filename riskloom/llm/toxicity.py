@@ -18,14 +18,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import ship_code, slices, text_of
+from riskloom.llm.common import ship_code, slices, text_of, written
 
 BUCKETS = 1 << 20
 #: Labelled documents that the model is fitted on, taken in the order of their hashed ids.
 SAMPLE_ROWS = 10_000
+#: Bytes of their hashed terms, of 4 bytes each; the first document is taken whatever its size.
+SAMPLE_BYTES = 64 << 20
 FACTORS = 8
 #: Prior variance of the weight of a term that surely tells.
 WEIGHT_VARIANCE = 100.0
@@ -34,7 +36,7 @@ CHUNK = 1 << 18
 REMEMBERED = 4
 
 _WORD = re.compile(r"\w+")
-_FEATURES = "toxic int, terms binary"
+_FEATURES = "doc_id bigint, toxic int, terms binary"
 
 
 def terms_of(text: str | None) -> np.ndarray:
@@ -212,27 +214,39 @@ def held_out(doc_id: str = "doc_id", folds: int = 5, fold: int = 0) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(True))
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
-          ) -> FactorizationMachine:
-    """Fit on at most ``sample_rows`` labelled documents outside the held-out fold.
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
+          sample_bytes: int = SAMPLE_BYTES) -> FactorizationMachine:
+    """Fit on at most ``sample_rows`` labelled documents outside the held-out fold, and on no
+    more of them than have ``sample_bytes`` of hashed terms.
 
-    A document with several labels is toxic if one says so; null labels are none. The sample's
-    ids are few by its bound, so they are broadcast; its hashed terms are all that is fetched.
+    A document with several labels is toxic if one says so; null labels are none. Of rows that
+    repeat an id the one with the least text is taken. The sample's ids are few by its bound, so
+    they are broadcast; its hashed terms are all that is fetched.
     """
     ship_code(docs.sparkSession)
     usable = (labels.filter(F.col("toxic").isNotNull() & ~held_out())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
+    chosen = (F.xxhash64("doc_id"), "doc_id")
+    sample = usable.orderBy(*chosen).limit(sample_rows)
+    rows = (docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
-            found = [terms_of(t).tobytes() for t in batch.column(0).to_pylist()]
-            yield pa.record_batch({"toxic": batch.column(1),
+        for batch in slices(batches, 1):
+            found = [terms_of(t).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.record_batch({"doc_id": batch.column(0), "toxic": batch.column(2),
                                    "terms": pa.array(found, pa.binary())})
 
-    found = (rows.select("text", F.col("toxic").cast("int").alias("toxic"))
-             .mapInArrow(hashed, _FEATURES).toArrow())
+    terms = written(rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"))
+                    .mapInArrow(hashed, _FEATURES), "sample-terms")
+    # Of a sample of bounded length, so one task may add up its sizes.
+    size = F.octet_length("terms").cast("long")
+    before = F.sum(size).over(Window.orderBy(*chosen).rowsBetween(
+        Window.unboundedPreceding, -1))
+    fitting = (terms.select("doc_id", (F.coalesce(before, F.lit(0)) + size).alias("sum"),
+                            before.isNull().alias("first"))
+               .filter((F.col("sum") <= sample_bytes) | F.col("first")).select("doc_id"))
+    found = terms.join(F.broadcast(fitting), "doc_id").select("toxic", "terms").toArrow()
     documents = [np.frombuffer(b, np.uint32) for b in found.column("terms").to_pylist()]
     toxic = np.array(found.column("toxic").to_pylist(), np.float32)
     order = sorted(range(len(documents)), key=lambda i: (toxic[i], documents[i].tobytes()))

@@ -85,6 +85,23 @@ def test_toxicity_learns_from_documents_not_held_out_only(spark):
     assert got.filter("predicted = 1").count() == 0
 
 
+def test_sample_has_one_row_of_an_id_and_bounded_bytes(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda documents, toxic: fitted.append(
+        (documents, toxic.tolist())))
+    used = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"w{i} " + " ".join(f"x{j}" for j in range(9))) for i in used] * 3
+    rows += [(used[0], f"zz{j}") for j in range(500)] + [(used[1], None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in used] * 2, "doc_id long, toxic int")
+    for limit in (toxicity.SAMPLE_BYTES, 200, 1):
+        toxicity.learn(docs_frame(spark, rows), labels, sample_bytes=limit)
+        documents, toxic = fitted.pop()
+        assert sum(d.nbytes for d in documents) <= max(limit, 40)
+        assert 1 <= len(documents) <= len(used) and len(toxic) == len(documents)
+        if limit > 200:
+            assert sorted(map(len, documents)) == [0] + [10] * (len(used) - 1)
+
+
 # -- personal data -----------------------------------------------------------------
 
 def luhn(digits):
