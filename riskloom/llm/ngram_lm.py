@@ -17,8 +17,8 @@ The n-grams of all documents are counted. Documents are dealt to blocks of bound
 block sends each distinct n-gram once, sorted and packed by ranges of their hashes; a range
 adds up what all blocks sent and answers each block with counts in the order it asked. So a
 block gets the part of the automaton that it needs, and nothing is broadcast. Words have
-64-bit hashes; those of longer n-grams have so many bits that about one n-gram in a million
-shares its hash with another, whatever the size of the corpus.
+64-bit hashes; those of longer n-grams have so many bits that no more than a few n-grams in a
+million share their hash with another, whatever the size of the corpus.
 """
 
 from __future__ import annotations
