@@ -14,6 +14,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -91,9 +92,41 @@ def read_records(stream) -> Iterator[Record]:
         yield Record(headers, content)
 
 
-def _header_text(value: str | None) -> str:
-    """A value on one line, whatever it holds."""
-    return base64.b64encode((value or "").encode()).decode()
+def _address_headers(url: str | None) -> dict[str, str]:
+    """The page's address, percent-encoded where a URI cannot hold a character as it is.
+
+    What that changes, and an empty or null address (``about:blank``), also stands in a header
+    of its own as it was; null ones come back empty.
+    """
+    url = url or ""
+    address = quote(url, safe="%:/?#[]@!$&'()*+,;=") or "about:blank"
+    headers = {"WARC-Target-URI": address}
+    if address != url:
+        headers["Page-Url"] = base64.b64encode(url.encode()).decode()
+    return headers
+
+
+def _address(headers: dict[str, str]) -> str:
+    if "Page-Url" in headers:
+        return base64.b64decode(headers["Page-Url"]).decode()
+    return headers["WARC-Target-URI"]
+
+
+def _record_id(page: int | None, row: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{row}')}>"
+
+
+def _told_apart(pages: DataFrame) -> DataFrame:
+    """The pages with ``row``, which no two of them share.
+
+    It is the page id, where ids are unique and none is null. Otherwise the rows are written
+    with numbers, so that the numbers stay the same however often they are read.
+    """
+    rows = pages.select(F.col("page_id").cast("bigint").alias("row"), "page_id", "url", "html")
+    repeated = pages.groupBy("page_id").count().filter("count > 1 OR page_id IS NULL")
+    if repeated.isEmpty():
+        return rows
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "pages")
 
 
 def plan_records(pages: DataFrame) -> DataFrame:
@@ -103,17 +136,20 @@ def plan_records(pages: DataFrame) -> DataFrame:
     the response; rows that repeat this id are responses too, and where no row has an id, all
     are. Null payloads are empty. The number of copies has no bound: the smallest id is a
     partial aggregate, and the join with it may be split where one payload is frequent.
+    ``row`` tells rows apart that share an id, and ``original`` is the row that a revisit means.
     """
     payload = F.encode(text_of("html"), "UTF-8")
-    rows = pages.select("page_id", "url", payload.alias("payload")).withColumns({
+    rows = _told_apart(pages).select("row", "page_id", "url",
+                                     payload.alias("payload")).withColumns({
         "digest": F.sha2("payload", 256), "size": F.length("payload").cast("long")})
     shared = F.col("size") >= LEAST_SHARED
     # Another column than the grouped one: the join then has shuffles of its own, which
     # adaptive execution can split.
     firsts = (rows.filter(shared).groupBy("digest")
-              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+              .agg(F.min("page_id").alias("first"), F.min_by("row", "page_id").alias("first_row"),
+                   F.count(F.lit(1)).alias("copies"))
               .filter(F.col("copies") > 1)
-              .select(F.unhex("digest").alias("shared_key"), "first"))
+              .select(F.unhex("digest").alias("shared_key"), "first", "first_row"))
     # Only a shared payload has a key, so the others need not meet anything.
     key = F.when(shared, F.unhex("digest"))
     joined = rows.withColumn("key", key).join(firsts, F.col("key") == F.col("shared_key"), "left")
@@ -122,7 +158,8 @@ def plan_records(pages: DataFrame) -> DataFrame:
         "page_id", "url", "digest", "size",
         F.when(revisit, F.lit("revisit")).otherwise("response").alias("record_type"),
         F.when(revisit, F.col("first")).alias("refers_to"),
-        F.when(~revisit, F.col("payload")).alias("payload"))
+        F.when(~revisit, F.col("payload")).alias("payload"),
+        "row", F.when(revisit, F.col("first_row")).alias("original"))
 
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
@@ -139,19 +176,22 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
             if out is None:
                 store, path = filesystem(uri)
                 store.create_dir(os.path.dirname(path), recursive=True)
-                out = store.open_output_stream(path)
+                # The members are packed already; the store must not pack the file again.
+                out = store.open_output_stream(path, compression=None)
             for row in batch.to_pylist():
                 headers = {
                     "WARC-Type": row["record_type"],
-                    "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, str(row['page_id']))}>",
+                    "WARC-Record-ID": _record_id(row["page_id"], row["row"]),
                     "WARC-Date": _DATE,
-                    "WARC-Target-URI": f"data:;base64,{_header_text(row['url'])}",
+                    **_address_headers(row["url"]),
                     "WARC-Payload-Digest": f"sha256:{row['digest']}",
                     "Page-Id": "" if row["page_id"] is None else str(row["page_id"]),
                     "Payload-Length": str(row["size"]),
                 }
                 if row["record_type"] == "revisit":
-                    headers |= {"WARC-Profile": _PROFILE, "Refers-To-Page": str(row["refers_to"])}
+                    headers |= {"WARC-Profile": _PROFILE,
+                                "WARC-Refers-To": _record_id(row["refers_to"], row["original"]),
+                                "Refers-To-Page": str(row["refers_to"])}
                 out.write(record_bytes(headers, row["payload"] or b""))
                 count += 1
         if out is not None:
@@ -170,7 +210,7 @@ def read_archives(archives: DataFrame, with_content: bool = True) -> DataFrame:
     def rows_of(records: list[Record]) -> pa.RecordBatch:
         number = lambda text: int(text) if text else None
         of = [r.headers for r in records]
-        url = [base64.b64decode(h["WARC-Target-URI"].rpartition(",")[2]).decode() for h in of]
+        url = [_address(h) for h in of]
         html = [r.content.decode() if with_content and r.kind == "response" else None
                 for r in records]
         return pa.record_batch({
@@ -188,7 +228,7 @@ def read_archives(archives: DataFrame, with_content: bool = True) -> DataFrame:
             for uri in batch.column(0).to_pylist():
                 store, path = filesystem(uri)
                 held, size = [], 0
-                with store.open_input_stream(path) as stream:
+                with store.open_input_stream(path, compression=None) as stream:
                     for record in read_records(stream):
                         held.append(record)
                         size += len(record.content)
