@@ -54,6 +54,27 @@ def test_contents_and_addresses_come_back(spark, tmp_path):
         assert r.html == (html[(r.page_id, r.url)] if r.record_type == "response" else None)
 
 
+def test_records_have_ids_of_their_own_and_revisits_name_their_original(spark, tmp_path):
+    pages = PAGES + [(20, "http://a.org/x%20y?q=1#z", "w" * 120), (21, "http://a.org/ü z", "w" * 120)]
+    listed = warc.write_archives(warc.plan_records(pages_frame(spark, pages)), str(tmp_path))
+    records = []
+    for row in listed.collect():
+        with open(row.archive, "rb") as stream:
+            records += warc.read_records(stream)
+    by_id = {r.headers["WARC-Record-ID"]: r for r in records}
+    assert len(records) == len(by_id) == len(pages)
+    revisits = [r.headers for r in records if r.kind == "revisit"]
+    assert len(revisits) == 5
+    for headers in revisits:
+        original = by_id[headers["WARC-Refers-To"]]
+        assert original.kind == "response"
+        assert original.headers["Page-Id"] == headers["Refers-To-Page"]
+        assert original.headers["WARC-Payload-Digest"] == headers["WARC-Payload-Digest"]
+    addresses = {r.headers["WARC-Target-URI"] for r in records}
+    assert {"http://a.org/x%20y?q=1#z", "http://a.org/%C3%BC%20z", "u%0D%0A1", "about:blank"} <= addresses
+    assert all(a.isascii() and " " not in a for a in addresses)
+
+
 def some_records(count=5):
     rnd = random.Random(1)
     contents = [bytes(rnd.randrange(256) for _ in range(rnd.choice([0, 10, 200_000])))
@@ -143,6 +164,50 @@ def test_search_of_awkward_vectors(spark):
     assert Counter(map(tuple, got)) == best_by_brute_force(rows)
 
 
+def clustered_vectors(count, clusters=8, size=10, seed=4):
+    rnd = np.random.default_rng(seed)
+    middles = 4 * np.eye(size)[:clusters]
+    return [(i, (middles[rnd.integers(clusters)] + rnd.normal(size=size) / 20)
+             .astype(np.float32).tolist()) for i in range(count)]
+
+
+def test_queries_go_to_few_shards_of_clustered_vectors(spark, monkeypatch):
+    rows, sent = clustered_vectors(4000), []
+    search = topk._search_shards
+
+    def spy(shards, asked, k):
+        sent.append((asked.count(), shards.count()))
+        return search(shards, asked, k)
+
+    monkeypatch.setattr(topk, "_search_shards", spy)
+    got = topk.top_k(vectors_frame(spark, rows), shard_rows=250, query_bytes=20 * 10 * 8).collect()
+    assert Counter(map(tuple, got)) == best_by_brute_force(rows)
+    # 80 queries, 16 shards and more: all of them would be 1,280 visits or more.
+    assert sum(visits for visits, _ in sent) <= 400
+
+
+@pytest.mark.parametrize("hot", [[1.0] * 6, [-3.0] * 6])
+def test_search_among_many_equal_vectors(spark, hot):
+    """A third of all rows is one vector: its cell is split into shards of bounded size."""
+    rows = random_vectors(300) + [(1000 + i, hot) for i in range(150)]
+    got = topk.top_k(vectors_frame(spark, rows), shard_rows=20).collect()
+    assert Counter(map(tuple, got)) == best_by_brute_force(rows)
+
+
+def test_cells_bound_what_is_in_them():
+    rnd = np.random.default_rng(6)
+    vectors = np.floor(256 * rnd.normal(size=(600, 5)))
+    cells = topk.Cells.fitted(vectors[:200], 12)
+    place, away = cells.nearest(vectors)
+    cells.measure({c: (int((place == c).sum()), float(away[place == c].max()))
+                   for c in np.unique(place)}, 40)
+    queries = np.floor(256 * rnd.normal(size=(20, 5)))
+    bounds = cells.bounds(queries)
+    for c in np.unique(place):
+        assert (bounds[:, c] >= (queries @ vectors[place == c].T).max(axis=1)).all()
+    assert cells.first[-1] == sum(-(-int((place == c).sum()) // 80) for c in np.unique(place))
+
+
 def test_bounds_of_nodes_hold():
     rnd = np.random.default_rng(3)
     vectors = np.floor(256 * rnd.normal(size=(500, 5)))
