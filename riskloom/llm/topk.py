@@ -292,8 +292,10 @@ def _visits(asked: DataFrame, shared, start: int, until: int) -> DataFrame:
 
 
 def _numbered_blocks(queries: DataFrame, cells: Cells, block_rows: int) -> DataFrame:
-    """``query_id, asked, asked_block``: blocks of about ``block_rows`` queries, from half to
-    one and a half times as many, that have the highest bound in the same cell."""
+    """``query_id, asked, asked_block``: blocks of about ``block_rows`` queries, at most one
+    and a half times as many but for the chance of a hash. Queries that have the highest bound
+    in the same cell stand together; neighbouring cells with few queries share a block, since
+    each block that visits a shard has it sent once more."""
     shared = queries.sparkSession.sparkContext.broadcast(cells)
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,11 +315,16 @@ def _numbered_blocks(queries: DataFrame, cells: Cells, block_rows: int) -> DataF
     homes = written(queries.mapInArrow(start, "query_id bigint, asked array<double>, home int"),
                     "queries")
     # At most as many rows as there are cells.
-    blocks, rows = 0, []
+    blocks, held, rows = -1, None, []
     for home, count in homes.groupBy("home").count().orderBy("home").collect():
         parts = max(1, round(count / block_rows))
+        if parts == 1 and held is not None and held + count <= 1.5 * block_rows:
+            held += count
+        else:
+            blocks += 1
+            held = count if parts == 1 else None
         rows.append((home, blocks, parts))
-        blocks += parts
+        blocks += parts - 1
     parts = homes.sparkSession.createDataFrame(rows, "home int, before bigint, parts bigint")
     return homes.join(F.broadcast(parts), "home").select(
         "query_id", "asked",
