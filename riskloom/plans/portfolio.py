@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,10 @@ from riskloom.operators.skew import key_counts, lookup_join
 FACT_MONTH = "fact_month"
 FACT_DATES = {"claims": "claim_date", "payments": "payment_date"}
 
+# Rows of the largest table that a bucket of a staged book holds, about. Tasks that join and sum
+# a bucket take some 500 bytes of memory a row.
+BUCKET_ROWS = 2_000_000
+
 # Fixed value: first month of the trend calendar.
 SPINE_START = dt.date(2024, 5, 1)
 
@@ -42,7 +48,7 @@ class Portfolio:
         self.spine_start = spine_start
         self.hot_rows = hot_rows
         self.written = dict(written or {})
-        #: Files per written table where these lie in buckets of the policy key.
+        #: Buckets per written table where these lie in buckets of the policy key.
         self.buckets = buckets if self.written else None
 
     def table(self, name: str) -> DataFrame:
@@ -170,11 +176,12 @@ class Portfolio:
         Worth it when several marts are built from one load: cleaning then runs
         once, and a lost executor costs a re-read instead of a recomputation.
 
-        ``buckets`` lays the tables out by policy, that many files each and sorted, as
+        ``buckets`` lays the tables out by policy, in that many buckets each and sorted, as
         tables of the session's catalog: marts then join and sum them without a shuffle.
-        Give as many as the cluster has cores, or more; a bucket is read by one task, so a
-        policy with a large share of the facts is better left unbucketed, where adaptive
-        execution may split it. ``by_month`` keeps the facts in a folder for each month, of
+        Give as many as the cluster has cores, or more. Larger books get a multiple, so that
+        a bucket has no more than ``BUCKET_ROWS`` rows of a table on average: it is read by
+        one task. A policy with a large share of the facts is better left unbucketed, where
+        adaptive execution may split it. ``by_month`` keeps the facts in a folder for each month, of
         which a mart with a calendar reads those it needs. ``watch`` may observe the rows of
         a table as they are written.
         """
@@ -183,6 +190,9 @@ class Portfolio:
                  "payments": Portfolio.clean_payments}
         if buckets or watch:
             views["endorsements"] = Portfolio.clean_endorsements
+        if buckets:
+            largest = _most_rows([self.table(name) for name in views])
+            buckets *= max(1, math.ceil(largest / (BUCKET_ROWS * buckets)))
         for name, view in views.items():
             target = f"{path.rstrip('/')}/{name}"
             rows = view(book)
@@ -203,6 +213,12 @@ class Portfolio:
         return Portfolio({**self._tables, **tables}, self.as_of, self.spine_start, self.hot_rows)
 
 
+def _most_rows(tables: Sequence[DataFrame]) -> int:
+    """Rows of the largest table; a count reads next to no columns."""
+    counts = reduce(DataFrame.unionByName, [t.agg(F.count(F.lit(1)).alias("n")) for t in tables])
+    return counts.agg(F.max("n")).first()[0]
+
+
 def _write_staged(spark: SparkSession, rows: DataFrame, name: str, target: str,
                   buckets: int | None, by_month: bool) -> DataFrame:
     monthly = by_month and name in FACT_DATES

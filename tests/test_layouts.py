@@ -1,6 +1,7 @@
 """Staged layouts, observed loads, fingerprints and mergeable states."""
 
 import datetime as dt
+import math
 import re
 from collections import Counter, defaultdict
 from decimal import Decimal as D
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import bitmaps, changes, fingerprints, quantiles
 from riskloom.operators.observe import LoadMetrics
-from riskloom.plans import checks, marts
+from riskloom.plans import checks, marts, portfolio
 from riskloom.plans.pipeline import observed_build
 from riskloom.streaming.loads import append_dedup, landing_stream
 from tests import sample
@@ -60,6 +61,23 @@ def test_bucketed_tables_are_not_shuffled_by_policy(spark, book, bucketed, name)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_larger_book_gets_a_multiple_of_its_buckets(spark, book, tmp_path, monkeypatch):
+    """A task reads a bucket, so rows of a bucket must not grow with the book."""
+    monkeypatch.setattr(portfolio, "BUCKET_ROWS", 2)
+    rows = max(df.count() for df in (book.policies, book.claims, book.payments, book.endorsements))
+    assert rows > 6
+    staged = book.staged(spark, str(tmp_path / "many"), buckets=3)
+    assert staged.buckets == 3 * math.ceil(rows / 6)
+    for name, df in staged.written.items():
+        # An empty bucket has no file.
+        files = {re.search(r"_(\d{5})\.", f)[1] for f in df.inputFiles()}
+        assert len(files) <= staged.buckets and (name != "policies" or max(map(int, files)) >= 3)
+    for name, mart in MARTS.items():
+        assert bag(mart(staged)) == bag(mart(book)), name
+    monkeypatch.undo()
+    assert book.staged(spark, str(tmp_path / "few"), buckets=3).buckets == 3
+
+
 def test_the_calendar_prunes_months_of_facts(spark, book, tmp_path):
     staged = book.staged(spark, str(tmp_path), by_month=True)
     assert {c for c in staged.written["claims"].columns} > {"fact_month"}
