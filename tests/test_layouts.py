@@ -222,6 +222,19 @@ def test_distinct_counts_merge_exactly(spark, rows):
         assert bag(got) == Counter((*k, len(a), len(b)) for k, (a, b) in want.items())
 
 
+def test_a_state_is_no_larger_than_its_ids(spark, tmp_path):
+    """Ids spread thinly over groups take a few words, and merging shuffles no state."""
+    rows = spark.range(20000).selectExpr("id % 50 AS g", "id * 7 AS i")
+    state = bitmaps.distinct_state(rows, ["g"], "i", {"every": F.lit(True)})
+    state.write.parquet(str(tmp_path / "state"))
+    held = spark.read.parquet(str(tmp_path / "state"))
+    assert held.count() <= 20000 and dict(held.dtypes)["every"] == "bigint"
+    merged = bitmaps.merge_distinct(state, [], ["every"])
+    assert plan_of(merged).count("Exchange") == 1
+    assert merged.count() == 20000 * 7 // 64 + 1
+    assert [tuple(r) for r in bitmaps.distinct_counts(merged, [], ["every"]).collect()] == [(20000,)]
+
+
 def test_quantiles_stay_within_the_stated_rank_error(spark):
     rows = spark.range(200000).selectExpr("id % 16 AS g", "id * 48271 % 200003 AS x")
     state = quantiles.quantile_state(rows, ["g"], F.col("x"))
