@@ -8,7 +8,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 from importlib.util import find_spec
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -209,6 +209,7 @@ class Refresh:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, late: Callable[[Column, Column], Column]):
+        self.spark = spark
         self.path = scratch_dir(spark, "refresh")
         self.now = star_schema.portfolio(spark, sf_dir)
         claim, payment = (late(F.col("policy_id"), F.col(d)) for d in ("claim_date", "payment_date"))
@@ -216,8 +217,11 @@ class Refresh:
                          "payments": self.now.payments.filter(payment)}
         self.before = self.now.with_tables(claims=self.now.claims.filter(~claim),
                                            payments=self.now.payments.filter(~payment))
-        # The keys are used several times over, so they are worked out once and written.
-        self.touched = self.kept("touched", refresh.touched_policies(self.now, **self.arrivals))
+
+    @cached_property
+    def touched(self) -> DataFrame:
+        """The keys are used several times over, so they are worked out once and written."""
+        return self.kept("touched", refresh.touched_policies(self.now, **self.arrivals))
 
     def kept(self, name: str, df: DataFrame) -> DataFrame:
         return written(df, f"{self.path}/{name}-{uuid.uuid4().hex}")
@@ -225,6 +229,11 @@ class Refresh:
     def parts(self) -> tuple[Portfolio, Portfolio]:
         return tuple(refresh.part_of(book, self.touched) for book in (self.before, self.now))
 
+    def risk_after(self, state: DataFrame, images: DataFrame) -> DataFrame:
+        """Customer risk from the next state, which is written: the mart's sort reads it twice."""
+        after = self.kept("customers", refresh.refresh_customers(state, images))
+        return refresh.customer_risk_of(self.now, after)
+
     def images(self) -> DataFrame:
         return self.kept("images", refresh.changed_images(*self.parts()))
 
@@ -236,8 +245,8 @@ class Refresh:
 
     def customer_risk(self) -> Callable[[], DataFrame]:
         state = self.kept("customers", refresh.customer_state_of(self.before))
-        return lambda: refresh.customer_risk_of(
-            self.now, refresh.refresh_customers(state, self.images()))
+        self.touched
+        return lambda: self.risk_after(state, self.images())
 
     def monitor(self) -> Callable[[], DataFrame]:
         state = self.kept("months", refresh.month_state_of(self.before))
@@ -263,8 +272,7 @@ class Refresh:
 
     def held_book(self) -> Callable[[], DataFrame]:
         """Customer risk from tables of which only the touched buckets are read."""
-        spark = self.touched.sparkSession
-        held = refresh.HeldBook.create(spark, f"{self.path}/held", self.before)
+        held = refresh.HeldBook.create(self.spark, f"{self.path}/held", self.before)
         state = self.kept("customers", refresh.customer_state_of(self.before))
 
         def step() -> DataFrame:
@@ -272,7 +280,7 @@ class Refresh:
             old = held.part(touched)
             held.add(self.arrivals)
             images = self.kept("images", refresh.changed_images(old, held.part(touched)))
-            return refresh.customer_risk_of(self.now, refresh.refresh_customers(state, images))
+            return self.risk_after(state, images)
 
         return step
 

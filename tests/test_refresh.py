@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from riskloom.operators import deltas
 from riskloom.plans import marts, refresh
 from tests import sample
@@ -119,6 +120,18 @@ def test_held_tables_give_the_same_parts(spark, now, tmp_path, keep):
             marts.policy_totals(refresh.part_of(book, touched)))
 
 
+def test_a_held_book_looks_policies_up_in_its_own_tables_alone(spark, now, tmp_path, monkeypatch):
+    """No raw table is searched for touched policies, and the mart is read from a written state."""
+    monkeypatch.setattr(registry.star_schema, "portfolio", lambda *_: now)
+    monkeypatch.setattr(registry, "scratch_dir", lambda *_: str(tmp_path))
+    monkeypatch.setattr(registry.refresh, "touched_policies", lambda *_, **__: pytest.fail("searched"))
+    case = registry.Refresh(spark, "", lambda policy, day: F.coalesce(
+        day >= F.lit(dt.date(2024, 8, 1)), F.lit(False)))
+    got = case.held_book()()
+    assert len(list(tmp_path.glob("customers-*"))) == 2
+    assert bag(got) == bag(marts.customer_risk(now))
+
+
 def test_only_touched_buckets_of_the_facts_are_read(spark, now, tmp_path):
     held = refresh.HeldBook.create(spark, str(tmp_path), now)
     touched = spark.createDataFrame([(1,)], "policy_id long")
