@@ -54,7 +54,7 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None,
         for batch in slices(batches):
             rows = [(doc, k, start, length, crc32_of(ids[start:start + length]))
                     for doc, ids in zip(batch.column(0).to_pylist(),
-                                        encode.encode(batch.column(1).to_pylist()))
+                                        encode.encode(batch.column(1)))
                     for k, (start, length) in enumerate(cut_points(len(ids), capacity))]
             doc, k, start, length, crc = zip(*rows)
             yield pa.record_batch({

@@ -134,7 +134,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
         for batch in slices(batches):
             out = out or SequenceWriter(file, encode.dtype, length)
             starts, counts = [], []
-            for ids in encode.encode(batch.column(1).to_pylist()):
+            for ids in encode.encode(batch.column(1)):
                 starts.append(out.total)
                 counts.append(len(ids))
                 out.add(ids)

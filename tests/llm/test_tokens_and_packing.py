@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -47,6 +48,41 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert small.encode([text])[0].tolist() == ids_of(small, text)
 
 
+@settings(max_examples=500, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(
+    [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u3000", "'", "'s", "'ll", ".", "..",
+     ", ", "_", "0", "12", "²", "a", "ab", "The", "é", "×", "÷", "Ã", "ж", "中", "🙂", "\u0301", "\x00",
+     "<|endoftext|>"]), max_size=12).map("".join), max_size=5))
+def test_ids_of_a_batch_are_those_of_each_text(encoder, texts):
+    wanted = [ids_of(encoder, text) for text in texts]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == wanted
+    column = pa.chunked_array([["x y"], ["a " + t for t in texts] + ["b"]], pa.string())
+    part = column.chunk(1).slice(0, len(texts))
+    assert ([ids.tolist() for ids in encoder.encode(part)]
+            == [ids_of(encoder, "a " + text) for text in texts])
+
+
+def test_a_word_goes_to_the_tokenizer_once_whatever_follows_it(monkeypatch):
+    fresh, given = tokens.Encoder(), []
+    library = fresh._ids
+    monkeypatch.setattr(fresh, "_ids", lambda texts: given.extend(texts) or library(texts))
+    texts = ["a zeppelin, a zeppelin. A zeppelin", "no zeppelin: zeppelin\nzeppelin", "a zeppelin"]
+    for text in texts:
+        assert fresh.encode([text])[0].tolist() == ids_of(fresh, text)
+    assert "".join(given).count(" zeppelin") == 1
+
+
+def test_what_a_worker_remembers_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 100)
+    fresh = tokens.Encoder()
+    text = " ".join(f"{'abc'[i % 3] * (i // 3 + 1)}x" for i in range(600))
+    for _ in range(2):
+        assert fresh.encode([text])[0].tolist() == ids_of(fresh, text)
+    assert len(fresh.young) + len(fresh.old) <= 150
+    assert max(map(len, [*fresh.young, *fresh.old])) <= tokens.REMEMBERED_CHARS
+    assert tokens.REMEMBERED <= 400_000
+
+
 @pytest.mark.parametrize("rows", [awkward_rows(), []])
 def test_token_files_hold_every_document(spark, encoder, rows):
     got = token_files.token_digest(docs_frame(spark, rows)).collect()
