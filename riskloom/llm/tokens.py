@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 #: Pieces remembered by each Python worker, which keeps them from task to task; the older half
 #: is forgotten first. Longer pieces than ``REMEMBERED_CHARS`` are not remembered, so that the
 #: number bounds the memory.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 REMEMBERED_CHARS = 64
 END_ID = 0
 

@@ -80,7 +80,7 @@ def test_what_a_worker_remembers_is_bounded(monkeypatch):
         assert fresh.encode([text])[0].tolist() == ids_of(fresh, text)
     assert len(fresh.young) + len(fresh.old) <= 150
     assert max(map(len, [*fresh.young, *fresh.old])) <= tokens.REMEMBERED_CHARS
-    assert tokens.REMEMBERED <= 400_000
+    assert tokens.REMEMBERED <= 200_000
 
 
 @pytest.mark.parametrize("rows", [awkward_rows(), []])
